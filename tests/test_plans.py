@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from tierone.operators.joins import lookup_join
+from tierone.operators.joins import lookup_join, measure
 
 
 def plan(df) -> str:
@@ -28,11 +28,13 @@ def test_flagship_broadcasts_checked_dimension(spark, sf):
 
 def test_lookup_join_falls_back_past_the_bound(spark):
     fact = spark.range(100).selectExpr("id % 10 AS k", "id AS v")
-    dim = spark.range(10).selectExpr("id AS k", "id * 2 AS w")
-    text = full_plan(lookup_join(fact, dim, "k", "left", max_broadcast_rows=5))
-    assert "ResolvedHint (strategy=broadcast)" not in text
+    dim = spark.range(10).selectExpr("id AS k", "repeat('x', 10) AS w")
+    assert measure(dim) == (10, 10 * (8 + 10))
+    for kwargs in ({"max_broadcast_rows": 5}, {"max_broadcast_bytes": 100}):
+        text = full_plan(lookup_join(fact, dim, "k", "left", **kwargs))
+        assert "strategy=broadcast" not in text
     text = full_plan(lookup_join(fact, dim, "k", "left", max_broadcast_rows=50))
-    assert "broadcast" in text.lower()
+    assert "strategy=broadcast" in text
 
 
 def test_report_scan_reads_only_needed_columns(spark, sf):

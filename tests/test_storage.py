@@ -80,3 +80,18 @@ def test_column_comments_reach_the_catalog(spark, sf):
     cols = {c.name: c.description for c in spark.catalog.listColumns("tierone_test_cmt.dq_scorecard")}
     assert cols["dq_pass_pct"] == "clean / total, percent, 4 dp"
     assert F is not None
+
+
+def test_rerun_clears_a_quarter_whose_rows_all_fail(spark):
+    from tierone.plans import silver
+    path = scratch_path(spark, "emptied")
+    good = [(1, "20240331", 5, 5, 1, 1, 1, 1, 10.0, 1, "t", "s", 2024, 1),
+            (2, "20240630", 5, 5, 1, 1, 1, 1, 10.0, 1, "t", "s", 2024, 2)]
+    df = spark.createDataFrame(good, S.BRONZE_FINANCIALS)
+    assert silver.write_silver_financials(silver.tag_financials(df), path, RUN1) == 2
+    # Re-run of Q2 where the only row now fails: Q2 must end up empty, Q1 untouched.
+    bad = [(2, "20240630", 0, 5, 1, 1, 1, 1, 10.0, 1, "t", "s", 2024, 2)]
+    rerun = silver.tag_financials(spark.createDataFrame(bad, S.BRONZE_FINANCIALS))
+    assert silver.write_silver_financials(rerun, path, RUN2) == 0
+    back = read_dataset(spark, path, S.SILVER_FINANCIALS)
+    assert sorted((r.cert, r.quarter) for r in back.collect()) == [(1, 1)]

@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame building blocks."""
 
 from tierone.operators.history import scd2_versions, with_previous_quarter
-from tierone.operators.joins import has_at_most, lookup_join, maybe_broadcast
+from tierone.operators.joins import fits_broadcast, lookup_join, maybe_broadcast, measure
 from tierone.operators.quality import (
     REASON,
     Rule,
@@ -21,10 +21,11 @@ __all__ = [
     "counts_from_observed",
     "counts_from_tagged",
     "financials_rules",
-    "has_at_most",
+    "fits_broadcast",
     "institution_rules",
     "lookup_join",
     "maybe_broadcast",
+    "measure",
     "pipeline_row",
     "quarantined_rows",
     "scd2_versions",

@@ -1,29 +1,65 @@
 """Fact-to-dimension lookup join with a checked broadcast.
 
-A dimension is broadcast only after a bounded count proves it has at most
-``max_rows`` rows (each partition stops reading after ``max_rows + 1``). Past
-the bound the join is left to a shuffle join; with adaptive execution on, a
-fact-side key holding a large share of the rows is split across tasks by the
-skew-join rule instead of landing in one task.
+A dimension is broadcast only after one aggregate over it proves it small:
+its row count and its payload size in bytes (string lengths plus fixed-width
+sizes) must both be under the bounds. The check is a plain partial aggregate
+(each task counts its own rows, one tiny final merge), so it never funnels
+rows into a single task the way a ``limit`` would; it reads the dimension
+once, which is small next to the fact side it saves from a shuffle.
+
+Past the bounds the join is left to a shuffle join on the key; with adaptive
+execution on, a fact-side key holding a large share of the rows is split
+across tasks by the skew-join rule instead of landing in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+# Bytes per value of fixed-width types; anything else counts 8.
+_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
+          T.DateType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
+          T.TimestampNTZType: 8, T.DecimalType: 16}
+
+
+def _row_bytes(schema: T.StructType) -> Column:
+    parts = []
+    for f in schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
+        else:
+            parts.append(F.lit(_WIDTH.get(type(f.dataType), 8)))
+    total = F.lit(0)
+    for p in parts:
+        total = total + p
+    return total.cast("bigint")
+
 
-# About 100 bytes per dimension row in the hashed relation -> ~100 MB.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+def measure(df: DataFrame) -> tuple[int, int]:
+    """(rows, payload bytes) of ``df``, computed by one distributed aggregate."""
+    row = df.agg(F.count(F.lit(1)).alias("rows"),
+                 F.coalesce(F.sum(_row_bytes(df.schema)), F.lit(0)).alias("bytes")).first()
+    return int(row["rows"]), int(row["bytes"])
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    rows, size = measure(df)
+    return rows <= max_rows and size <= max_bytes
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return fact.join(maybe_broadcast(dim, max_broadcast_rows), on, how)
+                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    return fact.join(maybe_broadcast(dim, max_broadcast_rows, max_broadcast_bytes), on, how)

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierone import config as C
 from tierone import schemas as S
@@ -93,6 +94,33 @@ def _write_pair(clean: DataFrame, bad: DataFrame, clean_path: str, bad_path: str
     return n_clean + n_bad, n_clean
 
 
+def _periods(obs: Observation) -> set[tuple[int, int]]:
+    return {(p["year"], p["quarter"]) for p in obs.get.get("periods", [])}
+
+
+def write_silver_financials(tagged: DataFrame, path: str, run: RunContext) -> int:
+    """Write clean financials, replacing exactly the quarters the input carries.
+
+    Dynamic overwrite replaces only quarters that receive rows; a quarter
+    whose rows all fail validation would keep its previous clean rows. The
+    periods seen in the input and the periods written are observed on the same
+    pass (a set bounded by the calendar), and every emptied quarter is cleared
+    with an empty overwrite of its own folder.
+    """
+    period = F.struct("year", "quarter")
+    seen, written = Observation("financials_in"), Observation("financials_out")
+    observed_in = tagged.observe(seen, F.collect_set(period).alias("periods"))
+    clean = silver_financials(observed_in, run).observe(
+        written, F.count(F.lit(1)).alias("rows"), F.collect_set(period).alias("periods"))
+    write_dataset(clean, path, partition_by=["year", "quarter"])
+    empty = tagged.sparkSession.createDataFrame(
+        [], T.StructType([f for f in S.SILVER_FINANCIALS.fields
+                          if f.name not in ("year", "quarter")]))
+    for year, quarter in sorted(_periods(seen) - _periods(written)):
+        write_dataset(empty, f"{path}/year={year}/quarter={quarter}")
+    return observed_rows(written)
+
+
 def run_silver(spark: SparkSession, bronze_inst: DataFrame, bronze_fin: DataFrame,
                paths: SilverPaths, run: RunContext) -> DataFrame:
     """Write all four silver outputs; return this run's two scorecard rows."""
@@ -100,9 +128,13 @@ def run_silver(spark: SparkSession, bronze_inst: DataFrame, bronze_fin: DataFram
     inst_total, inst_clean = _write_pair(
         silver_institutions(ti, run), quarantine_institutions(ti, run),
         paths.institutions, paths.quarantine_institutions, [], "institutions")
-    fin_total, fin_clean = _write_pair(
-        silver_financials(tf, run), quarantine_financials(tf, run),
-        paths.financials, paths.quarantine_financials, ["year", "quarter"], "financials")
+
+    fin_clean = write_silver_financials(tf, paths.financials, run)
+    bad_obs = Observation("financials_quarantine")
+    write_dataset(quarantine_financials(tf, run), paths.quarantine_financials,
+                  partition_by=["_run_id"], observe=bad_obs)
+    fin_total = fin_clean + observed_rows(bad_obs)
+
     return counts_from_observed(spark, C.DATASET_INSTITUTIONS, C.STAGE_SILVER,
                                 inst_total, inst_clean, run).unionByName(
         counts_from_observed(spark, C.DATASET_FINANCIALS, C.STAGE_SILVER,

@@ -173,10 +173,9 @@ def partition_overwrite(spark, sf):
     """Silver financials after re-running one quarter: only that quarter changes."""
     path = scratch_path(spark, "silver-rerun")
     _, tf = _tagged(spark, sf)
-    write_dataset(silver.silver_financials(tf, RUN), path, partition_by=["year", "quarter"])
+    silver.write_silver_financials(tf, path, RUN)
     one_quarter = tf.filter((F.col("year") == 2024) & (F.col("quarter") == 4))
-    write_dataset(silver.silver_financials(one_quarter, RERUN), path,
-                  partition_by=["year", "quarter"])
+    silver.write_silver_financials(one_quarter, path, RERUN)
     return read_dataset(spark, path, S.SILVER_FINANCIALS)
 
 

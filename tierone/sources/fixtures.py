@@ -52,7 +52,8 @@ def institutions(spark: SparkSession, sf_dir: str, run: RunContext) -> DataFrame
         "c_custkey", "c_name", "c_nationkey", "c_acctbal")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = (nation.join(maybe_broadcast(region), nation.n_regionkey == region.r_regionkey)
+    # One checked broadcast covers the whole geography side (nation x region).
+    geo = (nation.join(region, nation.n_regionkey == region.r_regionkey)
            .select("n_nationkey", "n_name", "r_name"))
     rows = customer.join(maybe_broadcast(geo), customer.c_nationkey == geo.n_nationkey)
 
