@@ -79,7 +79,10 @@ def test_column_comments_reach_the_catalog(spark, sf):
     pipeline.run_pipeline(spark, sf, RUN1, base, database="tierone_test_cmt")
     cols = {c.name: c.description for c in spark.catalog.listColumns("tierone_test_cmt.dq_scorecard")}
     assert cols["dq_pass_pct"] == "clean / total, percent, 4 dp"
-    assert F is not None
+    for table in ("bank_health_metrics", "dim_institution", "dq_scorecard"):
+        desc = spark.sql(f"DESCRIBE TABLE EXTENDED tierone_test_cmt.{table}").filter(
+            F.col("col_name") == "Comment").collect()
+        assert desc and desc[0].data_type == S.TABLE_COMMENTS[table]
 
 
 def test_rerun_clears_a_quarter_whose_rows_all_fail(spark):

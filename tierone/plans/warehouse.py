@@ -20,7 +20,7 @@ from tierone import schemas as S
 from tierone.config import DATASET_PIPELINE, STAGE_GOLD, RunContext
 from tierone.operators.scorecard import pipeline_row
 from tierone.plans import gold
-from tierone.sources.catalog import ensure_database, save_table
+from tierone.sources.catalog import ensure_database, save_table, set_table_comment
 from tierone.sources.parquet import cluster
 
 SCORECARD_KEY = ["run_id", "dataset", "pipeline_stage"]
@@ -41,6 +41,8 @@ def build_serving(spark: SparkSession, db: str, run: RunContext) -> None:
     (cluster(gold.dim_institution(inst, run), [], ["cert", "stalp"])
      .write.mode("overwrite").format("parquet")
      .saveAsTable(f"{db}.dim_institution"))
+    for table in ("bank_health_metrics", "dim_institution"):
+        set_table_comment(spark, db, table, S.TABLE_COMMENTS[table])
 
 
 def ensure_scorecard(spark: SparkSession, db: str) -> str:

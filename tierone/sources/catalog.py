@@ -44,6 +44,11 @@ def register_external(spark: SparkSession, db: str, table: str, schema: T.Struct
         spark.catalog.recoverPartitions(f"{db}.{table}")
 
 
+def set_table_comment(spark: SparkSession, db: str, table: str, comment: str) -> None:
+    text = comment.replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {_q(db)}.{_q(table)} SET TBLPROPERTIES ('comment' = '{text}')")
+
+
 def save_table(df: DataFrame, db: str, table: str, mode: str) -> None:
     """Managed-table load: ``overwrite`` replaces (idempotent), ``append`` adds."""
     df.write.mode(mode).format("parquet").saveAsTable(f"{db}.{table}")
