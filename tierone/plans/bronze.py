@@ -52,7 +52,7 @@ def ingest(spark: SparkSession, sf_dir: str, paths: BronzePaths, run: RunContext
     inst = fixtures.institutions(spark, sf_dir, run)
     fin = fixtures.financials(spark, sf_dir, run)
 
-    units = ledger.work_units(spark, fin)
+    units = ledger.work_units(spark, fixtures.financial_periods(spark, sf_dir))
     pending = ledger.pending_units(units, ledger.read_ledger(spark, paths.ledger)).checkpoint()
 
     if not pending.filter(F.col("run_key") == F.lit(MASTER_RUN_KEY)).isEmpty():

@@ -39,9 +39,8 @@ def run_pipeline(spark: SparkSession, sf_dir: str, run: RunContext,
     bronze_inst, bronze_fin = bronze.read_bronze(spark, bpaths)
     scorecard_rows = silver.run_silver(spark, bronze_inst, bronze_fin, spaths, run)
 
-    inst_silver, fin_silver = silver.read_silver(spark, spaths)
     warehouse.gold_load(spark, database, f"{base}/warehouse/{database}.db",
-                        inst_silver, fin_silver, scorecard_rows, run)
+                        spaths.institutions, spaths.financials, scorecard_rows, run)
     audit: DataFrame = spark.table(f"{database}.dq_scorecard").filter(
         f"run_id = '{run.run_id}'")
     # The audit rows of this run: three rows, safe to bring back.

@@ -1,9 +1,12 @@
 """Gold load into catalog tables.
 
-* raw loads: silver -> ``institutions_raw`` / ``financials_raw``, either
-  replacing (idempotent, the default) or appending (each load adds a copy);
-  the financials load is one partitioned read of the whole silver tree, with
-  no per-quarter loop and no hard-coded calendar;
+* raw tables: in the pipeline, ``institutions_raw`` / ``financials_raw`` are
+  external tables registered over the silver folders (dropped and
+  re-registered each run, partitions discovered) — gold reads silver in place
+  instead of copying it. The copying loads are available too: replacing
+  (idempotent) or appending (each load adds a copy); the financials load is
+  one partitioned read of the whole silver tree, with no per-quarter loop and
+  no hard-coded calendar;
 * serving tables: ``bank_health_metrics`` (partitioned by year, clustered by
   state) and ``dim_institution`` (clustered by cert, state), replaced;
 * ``dq_scorecard``: created once, partitioned by ``run_date``; rows are
@@ -20,7 +23,13 @@ from tierone import schemas as S
 from tierone.config import DATASET_PIPELINE, STAGE_GOLD, RunContext
 from tierone.operators.scorecard import pipeline_row
 from tierone.plans import gold
-from tierone.sources.catalog import ensure_database, save_table, set_table_comment
+from tierone.sources.catalog import (
+    drop_tables,
+    ensure_database,
+    register_external,
+    save_table,
+    set_table_comment,
+)
 from tierone.sources.parquet import cluster
 
 SCORECARD_KEY = ["run_id", "dataset", "pipeline_stage"]
@@ -31,6 +40,13 @@ def load_raw(inst_silver: DataFrame, fin_silver: DataFrame, db: str, mode: str =
     save_table(fin_silver, db, "financials_raw", mode)
 
 
+def register_raw(spark: SparkSession, db: str, inst_path: str, fin_path: str) -> None:
+    drop_tables(spark, db, ["institutions_raw", "financials_raw"])
+    register_external(spark, db, "institutions_raw", S.SILVER_INSTITUTIONS, inst_path)
+    register_external(spark, db, "financials_raw", S.SILVER_FINANCIALS, fin_path,
+                      partition_by=["year", "quarter"])
+
+
 def build_serving(spark: SparkSession, db: str, run: RunContext) -> None:
     inst = spark.table(f"{db}.institutions_raw")
     fin = gold.with_period(spark.table(f"{db}.financials_raw"))
@@ -69,10 +85,10 @@ def append_pipeline_row(spark: SparkSession, db: str, run: RunContext) -> None:
     append_scorecard(spark, db, row)
 
 
-def gold_load(spark: SparkSession, db: str, db_location: str, inst_silver: DataFrame,
-              fin_silver: DataFrame, silver_scorecard: DataFrame, run: RunContext) -> None:
+def gold_load(spark: SparkSession, db: str, db_location: str | None, inst_path: str,
+              fin_path: str, silver_scorecard: DataFrame, run: RunContext) -> None:
     ensure_database(spark, db, db_location)
-    load_raw(inst_silver, fin_silver, db, "overwrite")
+    register_raw(spark, db, inst_path, fin_path)
     build_serving(spark, db, run)
     append_scorecard(spark, db, silver_scorecard)
     append_pipeline_row(spark, db, run)

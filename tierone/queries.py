@@ -107,14 +107,14 @@ def bronze_partitioned_scan(spark, sf):
 
 
 def ingest_work_units(spark, sf):
-    return ledger.work_units(spark, _bronze(spark, sf)[1]).select("run_key")
+    return ledger.work_units(spark, fixtures.financial_periods(spark, sf)).select("run_key")
 
 
 def _ledger_with_earlier_run(spark, sf) -> bronze.BronzePaths:
     """A ledger in which an earlier run completed the master and every quarter
     before the cut-off year."""
     paths = bronze.BronzePaths(scratch_path(spark, "ingest"))
-    units = ledger.work_units(spark, _bronze(spark, sf)[1])
+    units = ledger.work_units(spark, fixtures.financial_periods(spark, sf))
     done = units.filter(F.col("year").isNull() | (F.col("year") < LEDGER_CUTOFF_YEAR))
     ledger.record(done, paths.ledger, EARLIER_RUN.ingested_at)
     return paths
@@ -122,7 +122,7 @@ def _ledger_with_earlier_run(spark, sf) -> bronze.BronzePaths:
 
 def ingest_pending(spark, sf):
     paths = _ledger_with_earlier_run(spark, sf)
-    units = ledger.work_units(spark, _bronze(spark, sf)[1])
+    units = ledger.work_units(spark, fixtures.financial_periods(spark, sf))
     return ledger.pending_units(units, ledger.read_ledger(spark, paths.ledger)).select("run_key")
 
 
@@ -314,9 +314,10 @@ def regional_summary(spark, sf):
 
 
 def table_inventory(spark, sf):
-    db = _fresh_db(spark, "gold")
-    si, sfin = _silver(spark, sf)
-    warehouse.gold_load(spark, db, None, si, sfin, _scorecard_rows(spark, sf), RUN)
+    """Row counts of every gold table after one full pipeline run."""
+    from tierone.plans.pipeline import run_pipeline
+    db = f"tierone_gold_{uuid.uuid4().hex[:10]}"
+    run_pipeline(spark, sf, RUN, scratch_path(spark, "inventory"), database=db)
     return catalog.table_inventory(spark, db)
 
 

@@ -96,6 +96,19 @@ def institutions(spark: SparkSession, sf_dir: str, run: RunContext) -> DataFrame
     return lineage(out, run)
 
 
+def order_period(ts: Column) -> tuple[Column, Column]:
+    """(year, quarter) of the report period of an order date."""
+    return ((F.year(ts) + F.lit(YEAR_SHIFT)).cast("int").alias("year"),
+            F.quarter(ts).cast("int").alias("quarter"))
+
+
+def financial_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct report periods present in the data: one date column scanned,
+    collapsed map-side to a handful of rows before its shuffle."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderdate")
+    return orders.select(*order_period(F.col("o_orderdate"))).distinct()
+
+
 def _scaled(a: Column, base: int, m: Column, modulus: int, denom: float) -> Column:
     return F.floor(a * (F.lit(base) + m % modulus) / F.lit(denom)).cast("bigint")
 
@@ -105,8 +118,7 @@ def financials(spark: SparkSession, sf_dir: str, run: RunContext) -> DataFrame:
     # Partial (map-side) aggregation collapses a hot customer before the shuffle.
     per_period = orders.groupBy(
         F.col("o_custkey").cast("bigint").alias("k"),
-        (F.year("o_orderdate") + F.lit(YEAR_SHIFT)).cast("int").alias("year"),
-        F.quarter("o_orderdate").cast("int").alias("quarter"),
+        *order_period(F.col("o_orderdate")),
     ).agg(F.sum(F.round(F.col("o_totalprice") * F.lit(100.0)).cast("bigint"))
           .cast("bigint").alias("a"))
 

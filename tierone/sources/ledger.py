@@ -18,9 +18,12 @@ from tierone.config import FINANCIALS_RUN_KEY_FORMAT, MASTER_RUN_KEY
 from tierone.schemas import LEDGER
 
 
-def work_units(spark: SparkSession, financials: DataFrame) -> DataFrame:
-    """``run_key`` (+ ``year``, ``quarter``) of every unit the data calls for."""
-    periods = financials.select("year", "quarter").distinct()
+def work_units(spark: SparkSession, periods: DataFrame) -> DataFrame:
+    """``run_key`` (+ ``year``, ``quarter``) of every unit the data calls for.
+
+    ``periods`` is any DataFrame with ``year`` and ``quarter`` columns.
+    """
+    periods = periods.select("year", "quarter").distinct()
     fin_units = periods.select(
         F.format_string(FINANCIALS_RUN_KEY_FORMAT, "year", "quarter").alias("run_key"),
         "year", "quarter")
