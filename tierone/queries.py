@@ -321,6 +321,17 @@ def table_inventory(spark, sf):
     return catalog.table_inventory(spark, db)
 
 
+def table_inventory_sizes(spark, sf):
+    """Row counts and on-disk size (KB) of every gold table after a pipeline run.
+
+    File sizes exist only on Spark's side, so this key has no SQL oracle.
+    """
+    from tierone.plans.pipeline import run_pipeline
+    db = f"tierone_gold_{uuid.uuid4().hex[:10]}"
+    run_pipeline(spark, sf, RUN, scratch_path(spark, "inventory-sizes"), database=db)
+    return catalog.table_inventory(spark, db).join(catalog.table_sizes(spark, db), "table_id")
+
+
 def scd2_history(spark, sf):
     si, _ = _silver(spark, sf)
     return scd2_versions(fixtures.institution_snapshots(si), RUN)
@@ -378,6 +389,7 @@ QUERIES: dict[str, Query] = {
     "quarter_change": quarter_change,
     "regional_summary": regional_summary,
     "table_inventory": table_inventory,
+    "table_inventory_sizes": table_inventory_sizes,
     "scd2_history": scd2_history,
     "dq_pass_trend": dq_pass_trend,
     "stream_silver_financials": stream_silver_financials,
