@@ -23,7 +23,7 @@ from tierone import schemas as S
 from tierone.config import FIXED_RUN, RunContext
 from tierone.functions.metrics import capital_class, pct_of_assets
 from tierone.operators.history import scd2_versions
-from tierone.operators.scorecard import counts_from_tagged, pipeline_row
+from tierone.operators.scorecard import counts_from_tagged
 from tierone.plans import bronze, gold, reports, silver, warehouse
 from tierone.session import scratch_path
 from tierone.sources import catalog, fixtures, ledger
