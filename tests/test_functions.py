@@ -65,3 +65,12 @@ def test_ratio_zero_assets_is_null(spark):
     df = spark.createDataFrame([(5, 0), (5, None), (1, 3)], "n bigint, a bigint")
     got = [r[0] for r in df.select(pct_of_assets(F.col("n"), F.col("a"), 2)).collect()]
     assert got == [None, None, 33.33]
+
+
+def test_scale_settings_size_partitions():
+    from tierone.session import MIB, scale_settings
+    tb = 1024 ** 4
+    big = scale_settings(20 * tb, total_cores=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 20 * tb // (128 * MIB)
+    small = scale_settings(10 * MIB, total_cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"

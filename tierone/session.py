@@ -64,3 +64,26 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared folder."""
     return f"{shared_dir(spark)}/tierone/{name}-{uuid.uuid4().hex}"
+
+
+MIB = 1024 * 1024
+
+
+def scale_settings(shuffle_bytes: int, total_cores: int,
+                   partition_bytes: int = 128 * MIB) -> dict[str, str]:
+    """Shuffle and scan sizing for a run expected to shuffle ``shuffle_bytes``.
+
+    Starts with enough shuffle partitions that each holds about
+    ``partition_bytes`` (and at least two waves over every core), so a task's
+    hash table and sort buffer fit in executor memory without heavy spill;
+    AQE coalesces partitions that turn out small and splits skewed ones
+    (a partition is "skewed" past four times the target size).
+    """
+    parts = max(2 * total_cores, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
