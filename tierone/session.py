@@ -27,6 +27,9 @@ SESSION_DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Remove reliable-checkpoint files once their DataFrame is gone, so the
+    # shared folder does not fill with spent checkpoints.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
