@@ -98,3 +98,22 @@ def test_rerun_clears_a_quarter_whose_rows_all_fail(spark):
     assert silver.write_silver_financials(rerun, path, RUN2) == 0
     back = read_dataset(spark, path, S.SILVER_FINANCIALS)
     assert sorted((r.cert, r.quarter) for r in back.collect()) == [(1, 1)]
+
+
+def test_external_tables_partitions_and_drop(spark):
+    path = scratch_path(spark, "ext")
+    df = spark.createDataFrame([(1, 2024, 1), (2, 2024, 2), (3, 2023, 4)],
+                               "v int, year int, quarter int")
+    write_dataset(df, path, partition_by=["year", "quarter"])
+    db = "tierone_test_ext"
+    catalog.ensure_database(spark, db, scratch_path(spark, "ext-db"))
+    catalog.drop_tables(spark, db, ["t"])
+    schema = "v INT, year INT, quarter INT"
+    spark.sql(f"CREATE TABLE {db}.t ({schema}) USING parquet PARTITIONED BY (year, quarter) "
+              f"LOCATION '{path}'")
+    assert spark.table(f"{db}.t").count() == 0            # partitions not yet known
+    spark.catalog.recoverPartitions(f"{db}.t")
+    assert spark.table(f"{db}.t").count() == 3
+    assert spark.table(f"{db}.t").filter("year = 2024").count() == 2
+    catalog.drop_tables(spark, db, ["t"])                  # external: files stay
+    assert spark.read.parquet(path).count() == 3
