@@ -117,3 +117,27 @@ def test_external_tables_partitions_and_drop(spark):
     assert spark.table(f"{db}.t").filter("year = 2024").count() == 2
     catalog.drop_tables(spark, db, ["t"])                  # external: files stay
     assert spark.read.parquet(path).count() == 3
+
+
+def test_incremental_gold_rebuilds_only_the_given_years(spark, sf):
+    from tierone.plans import warehouse
+    db = "tierone_test_incr"
+    pipeline.run_pipeline(spark, sf, RUN1, scratch_path(spark, "incr"), database=db)
+    health = f"{db}.bank_health_metrics"
+    before = {r.year: r.n for r in spark.table(health).groupBy("year")
+              .agg(F.count(F.lit(1)).alias("n")).collect()}
+    warehouse.build_serving(spark, db, RUN2, years=[2024], rebuild_dim=False)
+    spark.catalog.refreshTable(health)
+    after = spark.table(health)
+    by_year = {r.year: (r.n, r.loaded) for r in after.groupBy("year").agg(
+        F.count(F.lit(1)).alias("n"), F.max("_loaded_at").alias("loaded")).collect()}
+    assert {y: n for y, (n, _) in by_year.items()} == before
+    assert by_year[2024][1] == RUN2.run_ts
+    assert all(loaded == RUN1.run_ts for y, (_, loaded) in by_year.items() if y != 2024)
+    # A later run that lands nothing new leaves the fact table alone.
+    base, db_b = scratch_path(spark, "incr2"), db + "_b"
+    pipeline.run_pipeline(spark, sf, RUN1, base, database=db_b)
+    second = pipeline.run_pipeline(spark, sf, RUN2, base, database=db_b)
+    assert second.pending_units == 0
+    loaded = spark.table(f"{db_b}.bank_health_metrics").agg(F.max("_loaded_at")).first()[0]
+    assert loaded == RUN1.run_ts
