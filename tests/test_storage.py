@@ -54,19 +54,48 @@ def test_pipeline_is_idempotent(spark, sf):
     inv2 = {r.table_id: r.row_count for r in catalog.table_inventory(spark, "tierone_test_pipe").collect()}
     assert inv2 == inv1                             # same run id: nothing duplicated
 
+    # A later run with nothing new to land validates nothing and says so.
     third = pipeline.run_pipeline(spark, sf, RUN2, base, database="tierone_test_pipe")
     assert third.pending_units == 0
+    assert [(r["dataset"], r["total_records"], r["dq_pass_pct"]) for r in third.scorecard] == [
+        ("full_pipeline", 0, None)]
     card = spark.table("tierone_test_pipe.dq_scorecard")
-    assert card.count() == 6                        # a new run adds its own three rows
-    assert card.select("run_date").distinct().count() == 2
-    assert {r["dataset"]: r["total_records"] for r in third.scorecard} == {
+    assert card.count() == 4 and card.select("run_date").distinct().count() == 2
+    qi = read_dataset(spark, f"{base}/quarantine/institutions", S.QUARANTINE_INSTITUTIONS)
+    assert qi.groupBy("_run_id").count().count() == 1
+
+    # A full refresh reprocesses everything under its own run id.
+    run3 = RunContext(dt.datetime(2025, 6, 30, 1, 2, 3))
+    fourth = pipeline.run_pipeline(spark, sf, run3, base, database="tierone_test_pipe",
+                                   full_refresh=True)
+    assert {r["dataset"]: r["total_records"] for r in fourth.scorecard} == {
         "institutions": 150, "financials": 1263, "full_pipeline": 1413}
     qi = read_dataset(spark, f"{base}/quarantine/institutions", S.QUARANTINE_INSTITUTIONS)
     assert qi.groupBy("_run_id").count().count() == 2   # each run keeps its rejects
+    inv4 = {r.table_id: r.row_count for r in catalog.table_inventory(spark, "tierone_test_pipe").collect()}
+    assert inv4 == {**inv1, "dq_scorecard": 7}
     sizes = catalog.table_sizes(spark, "tierone_test_pipe").collect()
     assert all(r.size_kb > 0 for r in sizes) and len(sizes) == 5
 
 
+def test_run_validates_only_the_quarters_it_landed(spark, sf):
+    from tierone.plans import silver
+    from tierone.plans.bronze import BronzePaths, read_bronze
+    base = scratch_path(spark, "only-landed")
+    pipeline.run_pipeline(spark, sf, RUN1, base, database="tierone_test_landed")
+    bi, bf = read_bronze(spark, BronzePaths(base))
+    rows = silver.run_silver(spark, bi, bf, silver.SilverPaths(base), RUN2,
+                             periods=[(2024, 4)], institutions=False).collect()
+    assert [(r.dataset, r.total_records) for r in rows] == [
+        ("financials", bf.filter("year = 2024 AND quarter = 4").count())]
+    back = read_dataset(spark, f"{base}/silver/financials", S.SILVER_FINANCIALS)
+    stamps = {(r.year, r.quarter): r._transformed_at
+              for r in back.select("year", "quarter", "_transformed_at").distinct().collect()}
+    assert stamps[(2024, 4)] == RUN2.run_id
+    assert {v for k, v in stamps.items() if k != (2024, 4)} == {RUN1.run_id}
+    assert back.count() == 1237
+
+
 def test_append_doubles_and_replace_does_not(spark, sf):
     import __spark_entry__ as E
     rep = {r.table_id: r.row_count for r in E.queries()["raw_load_replace"](spark, sf).collect()}

@@ -30,29 +30,37 @@ class PipelineResult:
 def run_pipeline(spark: SparkSession, sf_dir: str, run: RunContext,
                  base: str | None = None, database: str = "tierone_gold",
                  full_refresh: bool = False) -> PipelineResult:
-    """One run. Gold is rebuilt in full on the first run, when the institution
-    master was (re)landed, or on ``full_refresh``; otherwise only the years of
-    the quarters this run landed are rebuilt."""
+    """One run.
+
+    Silver validates only what this run landed (its quarters; the institution
+    master if it was landed), and gold rebuilds only the years of those
+    quarters — in full when the master was (re)landed. ``full_refresh``
+    reprocesses everything. The first run lands every unit, so it is full.
+    """
     base = base or scratch_path(spark, "pipeline")
     bpaths = bronze.BronzePaths(base)
     spaths = silver.SilverPaths(base)
 
     pending = bronze.ingest(spark, sf_dir, bpaths, run)
     # The units this run landed: one row per quarter, bounded by the calendar.
-    units = pending.select("run_key", "year").collect()
+    units = pending.select("run_key", "year", "quarter").collect()
     master_landed = any(u.run_key == MASTER_RUN_KEY for u in units)
-    years = None if (full_refresh or master_landed) else sorted(
-        {u.year for u in units if u.year is not None})
+    periods = sorted({(u.year, u.quarter) for u in units if u.year is not None})
 
     bronze_inst, bronze_fin = bronze.read_bronze(spark, bpaths)
-    scorecard_rows = silver.run_silver(spark, bronze_inst, bronze_fin, spaths, run)
+    scorecard_rows = silver.run_silver(
+        spark, bronze_inst, bronze_fin, spaths, run,
+        periods=None if full_refresh else periods,
+        institutions=full_refresh or master_landed)
+
+    years = None if (full_refresh or master_landed) else sorted({y for y, _ in periods})
 
     warehouse.gold_load(spark, database, f"{base}/warehouse/{database}.db",
                         spaths.institutions, spaths.financials, scorecard_rows, run,
                         years=years, rebuild_dim=years is None)
     audit: DataFrame = spark.table(f"{database}.dq_scorecard").filter(
         f"run_id = '{run.run_id}'")
-    # The audit rows of this run: three rows, safe to bring back.
+    # The audit rows of this run: at most three rows, safe to bring back.
     return PipelineResult(base, database, len(units), [r.asDict() for r in audit.collect()])
 
 

@@ -1,5 +1,9 @@
 """Silver stage: validate bronze rows, write clean rows and quarantined rows.
 
+A run validates what it was given: all of bronze, or only the quarters it
+landed (a partition filter, so older quarters are not read at all) and the
+institution master only when it was (re)landed.
+
 Per dataset the bronze input is scanned twice — once per output — and the
 row counts for the scorecard are metrics observed on those two writes, so no
 separate counting job runs. Nothing is cached: at scale a second columnar scan
@@ -121,24 +125,44 @@ def write_silver_financials(tagged: DataFrame, path: str, run: RunContext) -> in
     return observed_rows(written)
 
 
+def only_periods(df: DataFrame, periods: list[tuple[int, int]]) -> DataFrame:
+    """Rows of the given (year, quarter)s — a partition filter on a partitioned scan."""
+    cond = F.lit(False)
+    for year, quarter in periods:
+        cond = cond | ((F.col("year") == F.lit(year)) & (F.col("quarter") == F.lit(quarter)))
+    return df.filter(cond)
+
+
 def run_silver(spark: SparkSession, bronze_inst: DataFrame, bronze_fin: DataFrame,
-               paths: SilverPaths, run: RunContext) -> DataFrame:
-    """Write all four silver outputs; return this run's two scorecard rows."""
-    ti, tf = tag_institutions(bronze_inst), tag_financials(bronze_fin)
-    inst_total, inst_clean = _write_pair(
-        silver_institutions(ti, run), quarantine_institutions(ti, run),
-        paths.institutions, paths.quarantine_institutions, [], "institutions")
-
-    fin_clean = write_silver_financials(tf, paths.financials, run)
-    bad_obs = Observation("financials_quarantine")
-    write_dataset(quarantine_financials(tf, run), paths.quarantine_financials,
-                  partition_by=["_run_id"], observe=bad_obs)
-    fin_total = fin_clean + observed_rows(bad_obs)
-
-    return counts_from_observed(spark, C.DATASET_INSTITUTIONS, C.STAGE_SILVER,
-                                inst_total, inst_clean, run).unionByName(
-        counts_from_observed(spark, C.DATASET_FINANCIALS, C.STAGE_SILVER,
-                             fin_total, fin_clean, run))
+               paths: SilverPaths, run: RunContext,
+               periods: list[tuple[int, int]] | None = None,
+               institutions: bool = True) -> DataFrame:
+    """Write the silver outputs; return this run's scorecard rows.
+
+    ``periods`` limits financials to those quarters (``None`` = all) and
+    ``institutions=False`` skips the master, so a quarterly run validates what
+    it landed instead of re-reading the whole history.
+    """
+    rows = spark.createDataFrame([], S.DQ_SCORECARD)
+    if institutions:
+        ti = tag_institutions(bronze_inst)
+        inst_total, inst_clean = _write_pair(
+            silver_institutions(ti, run), quarantine_institutions(ti, run),
+            paths.institutions, paths.quarantine_institutions, [], "institutions")
+        rows = rows.unionByName(counts_from_observed(
+            spark, C.DATASET_INSTITUTIONS, C.STAGE_SILVER, inst_total, inst_clean, run))
+
+    if periods is None or periods:
+        fin = bronze_fin if periods is None else only_periods(bronze_fin, periods)
+        tf = tag_financials(fin)
+        fin_clean = write_silver_financials(tf, paths.financials, run)
+        bad_obs = Observation("financials_quarantine")
+        write_dataset(quarantine_financials(tf, run), paths.quarantine_financials,
+                      partition_by=["_run_id"], observe=bad_obs)
+        rows = rows.unionByName(counts_from_observed(
+            spark, C.DATASET_FINANCIALS, C.STAGE_SILVER,
+            fin_clean + observed_rows(bad_obs), fin_clean, run))
+    return rows
 
 
 def read_silver(spark: SparkSession, paths: SilverPaths) -> tuple[DataFrame, DataFrame]:
