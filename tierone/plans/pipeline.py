@@ -32,10 +32,9 @@ def run_pipeline(spark: SparkSession, sf_dir: str, run: RunContext,
                  full_refresh: bool = False) -> PipelineResult:
     """One run.
 
-    Silver validates only what this run landed (its quarters; the institution
-    master if it was landed), and gold rebuilds only the years of those
-    quarters — in full when the master was (re)landed. ``full_refresh``
-    reprocesses everything. The first run lands every unit, so it is full.
+    Silver validates only the quarters this run landed and gold rebuilds only
+    their years. A run that (re)lands the institution master — the first run
+    always does — is a full run, as is ``full_refresh``.
     """
     base = base or scratch_path(spark, "pipeline")
     bpaths = bronze.BronzePaths(base)
@@ -47,13 +46,14 @@ def run_pipeline(spark: SparkSession, sf_dir: str, run: RunContext,
     master_landed = any(u.run_key == MASTER_RUN_KEY for u in units)
     periods = sorted({(u.year, u.quarter) for u in units if u.year is not None})
 
+    full = full_refresh or master_landed
+
     bronze_inst, bronze_fin = bronze.read_bronze(spark, bpaths)
     scorecard_rows = silver.run_silver(
         spark, bronze_inst, bronze_fin, spaths, run,
-        periods=None if full_refresh else periods,
-        institutions=full_refresh or master_landed)
+        periods=None if full else periods, institutions=full)
 
-    years = None if (full_refresh or master_landed) else sorted({y for y, _ in periods})
+    years = None if full else sorted({y for y, _ in periods})
 
     warehouse.gold_load(spark, database, f"{base}/warehouse/{database}.db",
                         spaths.institutions, spaths.financials, scorecard_rows, run,
