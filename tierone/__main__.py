@@ -57,8 +57,8 @@ def main(argv: list[str] | None = None) -> None:
                 print(f"-- {name}")
                 run_report(spark, args.db, name).show(truncate=False)
         elif args.command == "bronze":
-            pending = bronze.ingest(spark, args.arg, bronze.BronzePaths(base), run)
-            print(f"landed {pending.count()} unit(s) under {base}")
+            landed = bronze.ingest(spark, args.arg, bronze.BronzePaths(base), run)
+            print(f"landed {len(landed)} unit(s) under {base}")
         elif args.command == "silver":
             bi, bf = bronze.read_bronze(spark, bronze.BronzePaths(base))
             rows = silver.run_silver(spark, bi, bf, silver.SilverPaths(base), run)

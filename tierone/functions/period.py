@@ -31,3 +31,13 @@ def derive_quarter(repdte: Column) -> Column:
     """ceil(month / 3); months are not range-checked (13 -> 5)."""
     month = F.substring(repdte, 5, 2).try_cast("double")
     return F.ceil(month / F.lit(3.0)).try_cast("int")
+
+
+def in_periods(periods) -> Column:
+    """TRUE for rows whose (year, quarter) is one of ``periods``; on a
+    partitioned scan this is a partition filter, and below an aggregation on
+    (.., year, quarter) Catalyst pushes it under the grouping."""
+    cond = F.lit(False)
+    for year, quarter in periods:
+        cond = cond | ((F.col("year") == F.lit(year)) & (F.col("quarter") == F.lit(quarter)))
+    return cond

@@ -1,24 +1,24 @@
 """Bronze stage: land the two datasets, resumably.
 
 Work units are derived from the data (the master plus every (year, quarter)
-present), never from a hard-coded calendar. Pending units are the anti-join
-of units against the ledger, materialised with ``checkpoint()`` so recording
-completions cannot change the set being processed. All pending quarters are
-written by one partitioned job (dynamic overwrite — a retried or repeated
-quarter is replaced, not duplicated); their ledger rows are appended only
-after that job has committed.
+present), never from a hard-coded calendar. The pending units — the anti-join
+of units against the ledger — are brought to the driver once: at most one
+per quarter plus the master, a list bounded by the calendar, and fixed before
+any completion is recorded. All pending quarters are written by one
+partitioned job (dynamic overwrite — a retried or repeated quarter is
+replaced, not duplicated); their ledger rows are appended only after that
+job has committed.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from tierone import schemas as S
 from tierone.config import MASTER_RUN_KEY, RunContext
-from tierone.operators.joins import maybe_broadcast
+from tierone.functions.period import in_periods
 from tierone.sources import fixtures, ledger
 from tierone.sources.parquet import cluster, read_dataset, write_dataset
 
@@ -47,27 +47,30 @@ def land_financials(fin: DataFrame, path: str) -> None:
                   partition_by=["year", "quarter"])
 
 
-def ingest(spark: SparkSession, sf_dir: str, paths: BronzePaths, run: RunContext) -> DataFrame:
-    """Land every pending unit; return the units processed by this run."""
-    inst = fixtures.institutions(spark, sf_dir, run)
-    fin = fixtures.financials(spark, sf_dir, run)
-
+def ingest(spark: SparkSession, sf_dir: str, paths: BronzePaths, run: RunContext) -> list[Row]:
+    """Land every pending unit; return the units this run landed."""
     units = ledger.work_units(spark, fixtures.financial_periods(spark, sf_dir))
-    pending = ledger.pending_units(units, ledger.read_ledger(spark, paths.ledger)).checkpoint()
+    pending = ledger.pending_units(units, ledger.read_ledger(spark, paths.ledger)).collect()
 
-    if not pending.filter(F.col("run_key") == F.lit(MASTER_RUN_KEY)).isEmpty():
-        write_dataset(inst, paths.institutions)
-        ledger.record(pending.filter(F.col("run_key") == F.lit(MASTER_RUN_KEY)),
-                      paths.ledger, run.ingested_at)
+    master = [u for u in pending if u.run_key == MASTER_RUN_KEY]
+    if master:
+        write_dataset(fixtures.institutions(spark, sf_dir, run), paths.institutions)
+        ledger.record(_units_frame(spark, master), paths.ledger, run.ingested_at)
 
-    periods = pending.filter(F.col("year").isNotNull()).select("year", "quarter")
-    if not periods.isEmpty():
-        todo = fin.join(maybe_broadcast(periods), ["year", "quarter"], "left_semi")
+    quarters = [u for u in pending if u.year is not None]
+    if quarters:
+        fin = fixtures.financials(spark, sf_dir, run)
+        todo = fin.filter(in_periods([(u.year, u.quarter) for u in quarters]))
         land_financials(todo, paths.financials)
-        ledger.record(pending.filter(F.col("year").isNotNull()), paths.ledger, run.ingested_at)
+        ledger.record(_units_frame(spark, quarters), paths.ledger, run.ingested_at)
     return pending
 
 
+def _units_frame(spark: SparkSession, units: list[Row]) -> DataFrame:
+    return spark.createDataFrame([(u.run_key, u.year, u.quarter) for u in units],
+                                 "run_key string, year int, quarter int")
+
+
 def read_bronze(spark: SparkSession, paths: BronzePaths) -> tuple[DataFrame, DataFrame]:
     return (read_dataset(spark, paths.institutions, S.BRONZE_INSTITUTIONS),
             read_dataset(spark, paths.financials, S.BRONZE_FINANCIALS))

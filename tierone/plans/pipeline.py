@@ -40,9 +40,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, run: RunContext,
     bpaths = bronze.BronzePaths(base)
     spaths = silver.SilverPaths(base)
 
-    pending = bronze.ingest(spark, sf_dir, bpaths, run)
-    # The units this run landed: one row per quarter, bounded by the calendar.
-    units = pending.select("run_key", "year", "quarter").collect()
+    units = bronze.ingest(spark, sf_dir, bpaths, run)
     master_landed = any(u.run_key == MASTER_RUN_KEY for u in units)
     periods = sorted({(u.year, u.quarter) for u in units if u.year is not None})
 

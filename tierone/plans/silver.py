@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from tierone import config as C
 from tierone import schemas as S
 from tierone.config import RunContext
+from tierone.functions.period import in_periods
 from tierone.operators.quality import (
     clean_rows,
     financials_rules,
@@ -125,14 +126,6 @@ def write_silver_financials(tagged: DataFrame, path: str, run: RunContext) -> in
     return observed_rows(written)
 
 
-def only_periods(df: DataFrame, periods: list[tuple[int, int]]) -> DataFrame:
-    """Rows of the given (year, quarter)s — a partition filter on a partitioned scan."""
-    cond = F.lit(False)
-    for year, quarter in periods:
-        cond = cond | ((F.col("year") == F.lit(year)) & (F.col("quarter") == F.lit(quarter)))
-    return df.filter(cond)
-
-
 def run_silver(spark: SparkSession, bronze_inst: DataFrame, bronze_fin: DataFrame,
                paths: SilverPaths, run: RunContext,
                periods: list[tuple[int, int]] | None = None,
@@ -153,7 +146,7 @@ def run_silver(spark: SparkSession, bronze_inst: DataFrame, bronze_fin: DataFram
             spark, C.DATASET_INSTITUTIONS, C.STAGE_SILVER, inst_total, inst_clean, run))
 
     if periods is None or periods:
-        fin = bronze_fin if periods is None else only_periods(bronze_fin, periods)
+        fin = bronze_fin if periods is None else bronze_fin.filter(in_periods(periods))
         tf = tag_financials(fin)
         fin_clean = write_silver_financials(tf, paths.financials, run)
         bad_obs = Observation("financials_quarantine")
