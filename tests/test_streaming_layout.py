@@ -50,3 +50,15 @@ def test_health_files_sorted_by_state_within_year(spark, sf):
         states = [s for s in pq.read_table(f, columns=["stalp"]).column("stalp").to_pylist()
                   if s is not None]
         assert states == sorted(states), f
+
+
+def test_stream_backlog_in_bounded_batches(spark, sf):
+    base = scratch_path(spark, "stream-batches")
+    _, fin = _bronze(spark, sf)
+    bronze.land_financials(fin, f"{base}/bronze")
+    incremental_silver_financials(spark, f"{base}/bronze", f"{base}/silver", f"{base}/q",
+                                  f"{base}/ckpt", FIXED_RUN, max_files_per_trigger=3)
+    assert read_dataset(spark, f"{base}/silver", S.SILVER_FINANCIALS).count() == 1237
+    commits = glob.glob(os.path.join(_local(f"{base}/ckpt"), "clean", "commits", "[0-9]*"))
+    files = glob.glob(os.path.join(_local(f"{base}/bronze"), "year=*", "quarter=*", "*.parquet"))
+    assert len(commits) == -(-len(files) // 3) > 1

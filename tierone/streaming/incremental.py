@@ -10,7 +10,9 @@ run and stops — the quarterly cadence of the pipeline.
 
 Two queries read the same bronze folder: one writes clean rows (partitioned
 by year, quarter), the other quarantined rows (partitioned by ``_run_id``).
-Each has its own checkpoint under ``checkpoint``.
+Each has its own checkpoint under ``checkpoint``. ``availableNow`` honours
+``maxFilesPerTrigger``, so a large backlog is split into bounded micro-batches
+(each one commit in the sink's log) instead of one batch over everything.
 """
 
 from __future__ import annotations
@@ -21,6 +23,9 @@ from tierone import schemas as S
 from tierone.config import RunContext
 from tierone.plans.silver import quarantine_financials, silver_financials, tag_financials
 
+# Files per micro-batch: with ~128 MB Parquet files, about 1.3 TB per batch.
+DEFAULT_MAX_FILES_PER_TRIGGER = 10_000
+
 
 def _bronze_stream(spark: SparkSession, bronze_path: str,
                    max_files_per_trigger: int | None) -> DataFrame:
@@ -32,7 +37,7 @@ def _bronze_stream(spark: SparkSession, bronze_path: str,
 
 def incremental_silver_financials(spark: SparkSession, bronze_path: str, silver_path: str,
                                   quarantine_path: str, checkpoint: str, run: RunContext,
-                                  max_files_per_trigger: int | None = None,
+                                  max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
                                   timeout_s: int = 3600) -> str:
     """Validate every bronze file not yet processed; return the silver path."""
     clean = silver_financials(tag_financials(
