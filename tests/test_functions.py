@@ -74,3 +74,13 @@ def test_scale_settings_size_partitions():
     assert int(big["spark.sql.shuffle.partitions"]) == 20 * tb // (128 * MIB)
     small = scale_settings(10 * MIB, total_cores=8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_scorecard_run_id_is_formatted_run_time(spark):
+    import datetime as dt
+    from tierone.config import RunContext
+    from tierone.operators.scorecard import counts_from_observed
+    run = RunContext(dt.datetime(2026, 6, 10, 14, 12, 34))
+    row = counts_from_observed(spark, "institutions", "silver_transform", 10, 9, run).first()
+    assert row.run_id == run.run_id == "20260610_141234"
+    assert (row.quarantine_records, row.dq_pass_pct) == (1, 90.0)

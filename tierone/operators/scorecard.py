@@ -10,24 +10,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierone.config import RunContext
+from tierone.config import RUN_ID_PATTERN, RunContext
 from tierone.functions.rounding import round_half_up
 from tierone.operators.quality import REASON
 
-SCORECARD_COLUMNS = [
-    "run_id", "run_date", "dataset", "pipeline_stage", "total_records",
-    "clean_records", "quarantine_records", "dq_pass_pct", "created_at",
-]
-
-
 def pass_pct(clean: Column, total: Column) -> Column:
     """clean / total in percent, 4 dp; NULL when nothing was processed."""
     return round_half_up(clean * F.lit(100.0) / F.nullif(total, F.lit(0)), 4)
 
 
 def _finish(counts: DataFrame, dataset: str, stage: str, run: RunContext) -> DataFrame:
+    created_at = F.lit(run.run_ts_sql).cast("timestamp_ntz")
     return counts.select(
-        F.lit(run.run_id).alias("run_id"),
+        # The run id is the run time formatted YYYYMMDD_HHMMSS (= run.run_id).
+        F.date_format(created_at, RUN_ID_PATTERN).alias("run_id"),
         F.lit(run.run_date).alias("run_date"),
         F.lit(dataset).alias("dataset"),
         F.lit(stage).alias("pipeline_stage"),
@@ -35,7 +31,7 @@ def _finish(counts: DataFrame, dataset: str, stage: str, run: RunContext) -> Dat
         F.col("clean_records").cast("bigint").alias("clean_records"),
         (F.col("total_records") - F.col("clean_records")).cast("bigint").alias("quarantine_records"),
         pass_pct(F.col("clean_records"), F.col("total_records")).alias("dq_pass_pct"),
-        F.lit(run.run_ts_sql).cast("timestamp_ntz").alias("created_at"),
+        created_at.alias("created_at"),
     )
 
 
