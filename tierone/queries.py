@@ -43,6 +43,16 @@ def _bronze(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return fixtures.institutions(spark, sf, RUN), fixtures.financials(spark, sf, RUN)
 
 
+# Financials-only queries build just that side (no institution plan, no
+# broadcast size check they would not use).
+def _fin_tagged(spark: SparkSession, sf: str) -> DataFrame:
+    return silver.tag_financials(fixtures.financials(spark, sf, RUN))
+
+
+def _fin_silver(spark: SparkSession, sf: str) -> DataFrame:
+    return silver.silver_financials(_fin_tagged(spark, sf), RUN)
+
+
 def _tagged(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     bi, bf = _bronze(spark, sf)
     return silver.tag_institutions(bi), silver.tag_financials(bf)
@@ -76,7 +86,7 @@ def bronze_institutions(spark, sf):
 
 
 def bronze_financials(spark, sf):
-    return _bronze(spark, sf)[1]
+    return fixtures.financials(spark, sf, RUN)
 
 
 def bronze_lineage(spark, sf):
@@ -101,7 +111,7 @@ def bronze_roundtrip(spark, sf):
 
 def bronze_partitioned_scan(spark, sf):
     path = scratch_path(spark, "bronze-partitioned")
-    bronze.land_financials(_bronze(spark, sf)[1], path)
+    bronze.land_financials(fixtures.financials(spark, sf, RUN), path)
     return (read_dataset(spark, path, S.BRONZE_FINANCIALS)
             .filter((F.col("year") == 2024) & (F.col("quarter") == 4)))
 
@@ -140,7 +150,7 @@ def dq_institutions(spark, sf):
 
 
 def dq_financials(spark, sf):
-    return _tagged(spark, sf)[1]
+    return _fin_tagged(spark, sf)
 
 
 def silver_institutions_q(spark, sf):
@@ -151,7 +161,7 @@ def silver_institutions_q(spark, sf):
 
 def silver_financials_q(spark, sf):
     path = scratch_path(spark, "silver-fin")
-    write_dataset(_silver(spark, sf)[1], path, partition_by=["year", "quarter"])
+    write_dataset(_fin_silver(spark, sf), path, partition_by=["year", "quarter"])
     return read_dataset(spark, path, S.SILVER_FINANCIALS)
 
 
@@ -164,7 +174,7 @@ def quarantine_institutions_q(spark, sf):
 
 def quarantine_financials_q(spark, sf):
     path = scratch_path(spark, "quarantine-fin")
-    write_dataset(silver.quarantine_financials(_tagged(spark, sf)[1], RUN), path,
+    write_dataset(silver.quarantine_financials(_fin_tagged(spark, sf), RUN), path,
                   partition_by=["_run_id"])
     return read_dataset(spark, path, S.QUARANTINE_FINANCIALS)
 
@@ -172,7 +182,7 @@ def quarantine_financials_q(spark, sf):
 def partition_overwrite(spark, sf):
     """Silver financials after re-running one quarter: only that quarter changes."""
     path = scratch_path(spark, "silver-rerun")
-    _, tf = _tagged(spark, sf)
+    tf = _fin_tagged(spark, sf)
     silver.write_silver_financials(tf, path, RUN)
     one_quarter = tf.filter((F.col("year") == 2024) & (F.col("quarter") == 4))
     silver.write_silver_financials(one_quarter, path, RERUN)
@@ -219,7 +229,7 @@ def raw_load_append(spark, sf):
 # ----------------------------------------------------------------------- gold
 
 def derive_period(spark, sf):
-    _, sfin = _silver(spark, sf)
+    sfin = _fin_silver(spark, sf)
     return gold.with_period(
         sfin.select("cert", "repdte", F.col("year").alias("partition_year"),
                     F.col("quarter").alias("partition_quarter")))
@@ -227,7 +237,7 @@ def derive_period(spark, sf):
 
 def _ratio(column: str, numerator: str, scale: int) -> Query:
     def q(spark, sf):
-        _, sfin = _silver(spark, sf)
+        sfin = _fin_silver(spark, sf)
         return sfin.select("cert", "year", "quarter",
                            pct_of_assets(F.col(numerator), F.col("asset"), scale).alias(column))
     q.__name__ = f"ratio_{column}"
@@ -235,7 +245,7 @@ def _ratio(column: str, numerator: str, scale: int) -> Query:
 
 
 def capital_adequacy(spark, sf):
-    _, sfin = _silver(spark, sf)
+    sfin = _fin_silver(spark, sf)
     return sfin.select("cert", "year", "quarter", "rbct1",
                        capital_class(F.col("rbct1")).alias("capital_adequacy_flag"))
 
@@ -338,13 +348,13 @@ def scd2_history(spark, sf):
 
 
 def dq_pass_trend(spark, sf):
-    return reports.dq_pass_trend(_tagged(spark, sf)[1])
+    return reports.dq_pass_trend(_fin_tagged(spark, sf))
 
 
 def stream_silver_financials(spark, sf):
     from tierone.streaming.incremental import incremental_silver_financials
     base = scratch_path(spark, "stream")
-    bronze.land_financials(_bronze(spark, sf)[1], f"{base}/bronze/financials")
+    bronze.land_financials(fixtures.financials(spark, sf, RUN), f"{base}/bronze/financials")
     out = incremental_silver_financials(spark, f"{base}/bronze/financials",
                                         f"{base}/silver/financials",
                                         f"{base}/quarantine/financials",
