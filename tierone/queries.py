@@ -53,6 +53,14 @@ def _fin_silver(spark: SparkSession, sf: str) -> DataFrame:
     return silver.silver_financials(_fin_tagged(spark, sf), RUN)
 
 
+def _inst_tagged(spark: SparkSession, sf: str) -> DataFrame:
+    return silver.tag_institutions(fixtures.institutions(spark, sf, RUN))
+
+
+def _inst_silver(spark: SparkSession, sf: str) -> DataFrame:
+    return silver.silver_institutions(_inst_tagged(spark, sf), RUN)
+
+
 def _tagged(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     bi, bf = _bronze(spark, sf)
     return silver.tag_institutions(bi), silver.tag_financials(bf)
@@ -69,7 +77,7 @@ def _health(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _dim(spark: SparkSession, sf: str) -> DataFrame:
-    si, _ = _silver(spark, sf)
+    si = _inst_silver(spark, sf)
     return gold.dim_institution(si, RUN)
 
 
@@ -82,7 +90,7 @@ def _fresh_db(spark: SparkSession, name: str) -> str:
 # --------------------------------------------------------------------- bronze
 
 def bronze_institutions(spark, sf):
-    return _bronze(spark, sf)[0]
+    return fixtures.institutions(spark, sf, RUN)
 
 
 def bronze_financials(spark, sf):
@@ -101,7 +109,7 @@ def bronze_lineage(spark, sf):
 def bronze_roundtrip(spark, sf):
     path = scratch_path(spark, "bronze-roundtrip")
     obs = Observation("bronze_roundtrip")
-    write_dataset(_bronze(spark, sf)[0], path, observe=obs)
+    write_dataset(fixtures.institutions(spark, sf, RUN), path, observe=obs)
     written = observed_rows(obs)
     back = read_dataset(spark, path, S.BRONZE_INSTITUTIONS)
     if written <= 0:
@@ -146,7 +154,7 @@ def ingest_ledger_after_run(spark, sf):
 # --------------------------------------------------------------------- silver
 
 def dq_institutions(spark, sf):
-    return _tagged(spark, sf)[0]
+    return _inst_tagged(spark, sf)
 
 
 def dq_financials(spark, sf):
@@ -155,7 +163,7 @@ def dq_financials(spark, sf):
 
 def silver_institutions_q(spark, sf):
     path = scratch_path(spark, "silver-inst")
-    write_dataset(_silver(spark, sf)[0], path)
+    write_dataset(_inst_silver(spark, sf), path)
     return read_dataset(spark, path, S.SILVER_INSTITUTIONS)
 
 
@@ -167,7 +175,7 @@ def silver_financials_q(spark, sf):
 
 def quarantine_institutions_q(spark, sf):
     path = scratch_path(spark, "quarantine-inst")
-    write_dataset(silver.quarantine_institutions(_tagged(spark, sf)[0], RUN), path,
+    write_dataset(silver.quarantine_institutions(_inst_tagged(spark, sf), RUN), path,
                   partition_by=["_run_id"])
     return read_dataset(spark, path, S.QUARANTINE_INSTITUTIONS)
 
@@ -343,7 +351,7 @@ def table_inventory_sizes(spark, sf):
 
 
 def scd2_history(spark, sf):
-    si, _ = _silver(spark, sf)
+    si = _inst_silver(spark, sf)
     return scd2_versions(fixtures.institution_snapshots(si), RUN)
 
 
