@@ -2,9 +2,10 @@
 
     python tools/show_plans.py /root/testdata/sf0.1 bank_health_metrics quarter_trend
 
-Each DataFrame is executed itself (``collect`` of a small result, or a count
-through ``foreach`` for large ones would re-plan), so the adaptive plan shown
-is the final one. Expression ids are stripped for readability.
+Each DataFrame is executed itself with ``collect()`` (fine at the test scale
+factors), so the adaptive plan shown is the final one; running a different
+action, such as a write, would plan a new query. Expression ids are stripped
+for readability.
 """
 
 from __future__ import annotations
