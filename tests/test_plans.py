@@ -50,3 +50,17 @@ def test_no_python_evaluation(spark, sf, name):
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas",
                  "FlatMapGroupsInPandas"):
         assert node not in p, f"{name} runs Python: {node}"
+
+
+def test_landing_filter_runs_before_the_aggregation(spark, sf):
+    from tierone.config import FIXED_RUN
+    from tierone.functions.period import in_periods
+    from tierone.sources import fixtures
+    fin = fixtures.financials(spark, sf, FIXED_RUN).filter(in_periods([(2024, 4)]))
+    p = plan(fin)
+    partial = p.index("partial_sum")
+    # The period predicate sits below the partial aggregation, on the scan.
+    below = p[partial:]
+    assert "Filter" in below and "+ 24) = 2024)" in below and "= 4)" in below
+    assert fin.count() == fixtures.financials(spark, sf, FIXED_RUN).filter(
+        "year = 2024 AND quarter = 4").count()
