@@ -64,3 +64,17 @@ def test_landing_filter_runs_before_the_aggregation(spark, sf):
     assert "Filter" in below and "+ 24) = 2024)" in below and "= 4)" in below
     assert fin.count() == fixtures.financials(spark, sf, FIXED_RUN).filter(
         "year = 2024 AND quarter = 4").count()
+
+
+def test_landing_quarters_skip_by_order_date_statistics(spark, sf):
+    from tierone.config import FIXED_RUN
+    from tierone.functions.period import in_periods
+    from tierone.sources import fixtures
+    periods = [(2024, 4), (2019, 3)]
+    ranged = fixtures.financials(spark, sf, FIXED_RUN, periods).filter(in_periods(periods))
+    full = fixtures.financials(spark, sf, FIXED_RUN).filter(in_periods(periods))
+    assert sorted(map(tuple, ranged.collect()), key=str) == \
+        sorted(map(tuple, full.collect()), key=str)
+    p = plan(ranged)
+    assert "GreaterThanOrEqual(o_orderdate,2000-10-01T00:00)" in p
+    assert "LessThan(o_orderdate,2001-01-01T00:00)" in p
