@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierone.llm import decontam, exact_dedup, langid, mixing, quality, simhash
+from tierone.llm import decontam, exact_dedup, langid, licenses, mixing, quality, secrets, simhash
 from tierone.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf)).drop("rid")
+
+
 def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify(documents(spark, sf))
 
@@ -25,6 +29,10 @@ def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf)).drop("rid")
 
 
+def op6_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.digest(secrets.scan(documents(spark, sf)))
+
+
 def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     groups = simhash.near_groups(documents(spark, sf))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
@@ -42,9 +50,11 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_licenses": op1_licenses,
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_secrets": op6_secrets,
     "op7_simhash": op7_simhash,
     "op8_mixing": op8_mixing,
     "op10_quality": op10_quality,
