@@ -44,9 +44,9 @@ def words_of(text: Column, pattern: str = WORD) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
 
 
-def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Null-safe equality on every key."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also where lambdas in the body use it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def join_checked(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left",

@@ -218,9 +218,11 @@ def detections(prep: DataFrame, rules: list[Rule]) -> DataFrame:
     def gaps(x):                        # words begin after spaces
         return F.char_length(x) - F.char_length(F.replace(x, F.lit(" "), F.lit("")))
 
-    parts = F.split("form", F.col("regex"), -1)
-    found = F.transform(F.regexp_extract_all("form", "regex", F.lit(0)), lambda m, i: F.struct(
-        i.alias("i"), gaps(F.get(parts, i)).alias("gap"), gaps(m).alias("inner")))
+    # There is one part more than matches.
+    pairs = F.arrays_zip(F.regexp_extract_all("form", "regex", F.lit(0)).alias("m"),
+                         F.split("form", F.col("regex"), -1).alias("part"))
+    found = F.transform(F.filter(pairs, lambda x: x["m"].isNotNull()), lambda x, i: F.struct(
+        i.alias("i"), gaps(x["part"]).alias("gap"), gaps(x["m"]).alias("inner")))
     order = Window.partitionBy("rid", "rule").orderBy("i")
     begin = F.sum(F.col("gap") + F.col("inner")).over(order) - F.col("inner") - 1
     return (rows.select("rid", "rule", "label", "priority", F.explode(found).alias("m"))

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierone.llm.common import TOKEN, join_checked, materialize
+from tierone.llm.common import TOKEN, join_checked, let, materialize
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -90,11 +90,10 @@ def hypergeometric(good: Column, total: Column, draws: Column, u: Column) -> Col
         (a["log"] + step(k)).alias("log"),
         (a["sum"] + F.exp(a["log"] + step(k))).alias("sum")))["sum"]
     aim = F.struct(F.lit(0.0).alias("log"), F.lit(1.0).alias("sum"), first.alias("at"))
-    want = u * mass
-    return F.aggregate(inner, aim, lambda a, k: F.struct(
+    return let(u * mass, lambda want: F.aggregate(inner, aim, lambda a, k: F.struct(
         (a["log"] + step(k)).alias("log"),
         (a["sum"] + F.exp(a["log"] + step(k))).alias("sum"),
-        F.when(a["sum"] < want, k).otherwise(a["at"]).alias("at")))["at"]
+        F.when(a["sum"] < want, k).otherwise(a["at"]).alias("at")))["at"])
 
 
 def split_tree(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierone.llm import decontam, exact_dedup, langid, licenses, mixing, quality, secrets, simhash
+from tierone.llm import decontam, exact_dedup, langid, licenses, mixing, pii, quality, secrets, simhash, substring
 from tierone.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(documents(spark, sf)).drop("rid")
 
 
+def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.scan(documents(spark, sf))
+
+
 def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify(documents(spark, sf))
 
@@ -44,6 +48,10 @@ def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "shards")
 
 
+def op9_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring.passages(documents(spark, sf))
+
+
 def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return (quality.select(documents(spark, sf), quality.labels_of(spark, sf))
             .select("doc_id", "n_grams", "log_weight", "kept"))
@@ -51,11 +59,13 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_licenses": op1_licenses,
+    "op2_pii": op2_pii,
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_secrets": op6_secrets,
     "op7_simhash": op7_simhash,
     "op8_mixing": op8_mixing,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_quality": op10_quality,
 }

@@ -25,7 +25,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierone.llm.common import join_checked, materialize
+from tierone.llm.common import join_checked, let, materialize
 
 
 class Rule(NamedTuple):
@@ -130,7 +130,8 @@ def build_index(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     named = sorted({t for r in rules for branch in trigram_query(r.regex) or [] for t in branch})
     low = docs.select("doc_id", text_key(F.col("text")).alias("key"),
                       F.lower(F.coalesce("text", F.lit(""))).alias("low"))
-    present = F.filter(F.array(*[F.lit(t) for t in named]), lambda t: F.contains(F.col("low"), t))
+    trigrams = F.array(*[F.lit(t) for t in named])
+    present = let(F.col("low"), lambda low: F.filter(trigrams, lambda t: F.contains(low, t)))
     return materialize(low.select("doc_id", "key", F.explode(present).alias("tri")), "secret-index")
 
 
@@ -147,14 +148,18 @@ def candidates(index: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def found_in(text: Column, rule: Rule) -> Column:
     """Matches of one rule: (kind, place, length before it, length, whether it passes)."""
-    regex = F.lit(rule.regex)
-    whole = F.regexp_extract_all(text, regex, F.lit(0))
-    parts = F.split(text, rule.regex, -1)
-    measured = F.regexp_extract_all(text, regex, F.lit(rule.group)) if rule.group else whole
-    return F.transform(whole, lambda m, i: F.struct(
-        F.lit(rule.kind).alias("kind"), i.alias("i"),
-        F.char_length(F.get(parts, i)).alias("gap"), F.char_length(m).alias("len"),
-        (F.char_length(F.get(measured, i)) >= rule.least).alias("good")))
+    def all_of(group: int) -> Column:
+        return F.regexp_extract_all(text, F.lit(rule.regex), F.lit(group))
+
+    lists = [all_of(0).alias("m"), F.split(text, rule.regex, -1).alias("part")]
+    if rule.group:
+        lists.append(all_of(rule.group).alias("g"))
+    # There is one part more than matches.
+    rows = F.filter(F.arrays_zip(*lists), lambda x: x["m"].isNotNull())
+    return F.transform(rows, lambda x, i: F.struct(
+        F.lit(rule.kind).alias("kind"), i.alias("i"), F.char_length(x["part"]).alias("gap"),
+        F.char_length(x["m"]).alias("len"),
+        (F.char_length(x["g" if rule.group else "m"]) >= rule.least).alias("good")))
 
 
 def scan(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
