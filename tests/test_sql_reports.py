@@ -1,4 +1,4 @@
-"""Report SQL over the gold catalog tables equals the DataFrame reports."""
+"""Reports by name over the gold catalog tables equal the reports over their frames."""
 
 import datetime as dt
 
@@ -6,7 +6,7 @@ import pytest
 
 from tierone.config import RunContext
 from tierone.plans import pipeline, reports
-from tierone.plans.sql_reports import report_sql, run_report
+from tierone.plans.sql_reports import REPORTS, run_report
 from tierone.session import scratch_path
 
 DB = "tierone_test_sql"
@@ -30,8 +30,8 @@ def _frame_reports(spark, db):
     }
 
 
-@pytest.mark.parametrize("name", sorted(report_sql("x")))
-def test_sql_report_equals_dataframe_report(spark, gold, name):
+@pytest.mark.parametrize("name", sorted(REPORTS))
+def test_report_by_name_equals_dataframe_report(spark, gold, name):
     expected = _frame_reports(spark, gold)[name]
     got = run_report(spark, gold, name)
     assert got.columns == expected.columns

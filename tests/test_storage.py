@@ -78,6 +78,46 @@ def test_pipeline_is_idempotent(spark, sf):
     assert all(r.size_kb > 0 for r in sizes) and len(sizes) == 5
 
 
+def test_run_after_a_death_between_stages_completes_it(spark, sf):
+    from tierone.plans import bronze
+    run2 = RunContext(dt.datetime(2025, 3, 31, 1, 2, 3))
+    want = {"bank_health_metrics": 1237, "dim_institution": 132,
+            "financials_raw": 1237, "institutions_raw": 132}
+    for stop in ("bronze", "silver"):
+        base, db = scratch_path(spark, f"died-{stop}"), f"tierone_test_died_{stop}"
+        bronze.ingest(spark, sf, bronze.BronzePaths(base), RUN1)
+        if stop == "silver":
+            pipeline.silver_stage(spark, base, RUN1)
+        result = pipeline.run_pipeline(spark, sf, run2, base, database=db)
+        assert result.pending_units == 0
+        inv = {r.table_id: r.row_count for r in catalog.table_inventory(spark, db).collect()}
+        assert {k: inv[k] for k in want} == want
+        card = spark.table(f"{db}.dq_scorecard").filter("dataset = 'full_pipeline'").collect()
+        assert [r.total_records for r in card] == [1413]
+
+
+def test_forced_unit_lands_again_and_reaches_gold(spark, sf):
+    base, db = scratch_path(spark, "forced"), "tierone_test_forced"
+    pipeline.run_pipeline(spark, sf, RUN1, base, database=db)
+    run2 = RunContext(dt.datetime(2025, 3, 31, 1, 2, 3))
+    result = pipeline.run_pipeline(spark, sf, run2, base, database=db, force=["financials_2024_Q4"])
+    assert result.pending_units == 1
+    loaded = {r.year for r in spark.table(f"{db}.bank_health_metrics").filter(
+        F.col("_loaded_at") == F.lit(run2.run_ts_sql).cast("timestamp_ntz")).select("year").distinct().collect()}
+    assert loaded == {2024} and spark.table(f"{db}.bank_health_metrics").count() == 1237
+
+
+def test_second_process_finds_the_tables_of_the_first(spark, sf):
+    """Without the catalog's entries, as a new process starts; external files stay."""
+    base, db = scratch_path(spark, "second"), "tierone_test_second"
+    pipeline.run_pipeline(spark, sf, RUN1, base, database=db)
+    catalog.drop_tables(spark, db, catalog.list_tables(spark, db))
+    run2 = RunContext(dt.datetime(2025, 3, 31, 1, 2, 3))
+    pipeline.run_pipeline(spark, sf, run2, base, database=db)
+    assert spark.table(f"{db}.bank_health_metrics").count() == 1237
+    assert spark.table(f"{db}.dq_scorecard").select("run_id").distinct().count() == 2
+
+
 def test_run_validates_only_the_quarters_it_landed(spark, sf):
     from tierone.plans import silver
     from tierone.plans.bronze import BronzePaths, read_bronze

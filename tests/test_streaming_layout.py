@@ -41,6 +41,18 @@ def test_stream_processes_each_bronze_file_once(spark, sf):
     assert silver.groupBy("cert", "year", "quarter").count().filter("count > 1").count() == 0
 
 
+def test_relanded_quarter_replaces_its_rows(spark, sf):
+    base = scratch_path(spark, "stream-again")
+    _, fin = _bronze(spark, sf)
+    paths = [f"{base}/{p}" for p in ("bronze", "silver", "quarantine", "ckpt")]
+    bronze.land_financials(fin, paths[0])
+    incremental_silver_financials(spark, *paths, FIXED_RUN)
+    bronze.land_financials(fin.filter("year = 2024 AND quarter = 4"), paths[0])
+    incremental_silver_financials(spark, *paths, FIXED_RUN)
+    assert read_dataset(spark, paths[1], S.SILVER_FINANCIALS).count() == 1237
+    assert read_dataset(spark, paths[2], S.QUARANTINE_FINANCIALS).count() == 26
+
+
 def test_health_files_sorted_by_state_within_year(spark, sf):
     path = scratch_path(spark, "layout")
     gold.write_bank_health(_health(spark, sf), path)

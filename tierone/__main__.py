@@ -4,41 +4,26 @@
     python -m tierone bronze   SF_DIR --base DIR
     python -m tierone silver   --base DIR
     python -m tierone gold     --base DIR [--db NAME]
-    python -m tierone report   NAME [--db NAME]
+    python -m tierone report   NAME --base DIR [--db NAME]
 
 Stages raise on failure, so a failed stage stops the sequence. ``--base``
 defaults to a fresh folder under ``spark.checkpoint.dir``. ``pipeline``
-prints the gold reports at the end; a stand-alone ``report`` (or ``gold``
-followed by ``report``) needs a catalog that outlives the process, such as a
-cluster's metastore — Spark's in-memory catalog lasts one session.
+prints the gold reports at the end. Tables lie at explicit locations under
+``--base`` and are registered again by each process that needs them, so a
+stand-alone ``report`` takes ``--base`` too.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.errors import AnalysisException
-
-from tierone import schemas as S
 from tierone.config import RunContext
-from tierone.plans import bronze, silver, warehouse
-from tierone.plans.pipeline import run_pipeline
-from tierone.plans.sql_reports import report_sql, run_report
+from tierone.plans import bronze
+from tierone.plans.pipeline import gold_stage, register_tables, run_pipeline, silver_stage, staged_rows
+from tierone.plans.sql_reports import REPORTS, run_report
 from tierone.session import build_session, scratch_path
 
 
-SCORECARD_STAGING = "silver_scorecard"
-
-
-def _staged_rows(spark, base: str):
-    try:
-        return spark.read.schema(S.DQ_SCORECARD).parquet(f"{base}/{SCORECARD_STAGING}")
-    except AnalysisException as exc:
-        if exc.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], S.DQ_SCORECARD)
-        raise
-
-
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="tierone")
     ap.add_argument("command", choices=["pipeline", "bronze", "silver", "gold", "report"])
@@ -53,27 +38,23 @@ def main(argv: list[str] | None = None) -> None:
     try:
         if args.command == "pipeline":
             print(run_pipeline(spark, args.arg, run, base, database=args.db))
-            for name in report_sql(args.db):
+            for name in REPORTS:
                 print(f"-- {name}")
                 run_report(spark, args.db, name).show(truncate=False)
         elif args.command == "bronze":
             landed = bronze.ingest(spark, args.arg, bronze.BronzePaths(base), run)
             print(f"landed {len(landed)} unit(s) under {base}")
         elif args.command == "silver":
-            bi, bf = bronze.read_bronze(spark, bronze.BronzePaths(base))
-            rows = silver.run_silver(spark, bi, bf, silver.SilverPaths(base), run)
-            # Staged for the gold stage, which appends them to the scorecard.
-            rows.write.mode("append").parquet(f"{base}/{SCORECARD_STAGING}")
-            spark.read.schema(S.DQ_SCORECARD).parquet(f"{base}/{SCORECARD_STAGING}") \
-                .filter(f"run_id = '{run.run_id}'").show(truncate=False)
+            silver_stage(spark, base, run, full_refresh=True)
+            staged_rows(spark, base).filter(f"run_id = '{run.run_id}'").show(truncate=False)
         elif args.command == "gold":
-            sp = silver.SilverPaths(base)
-            warehouse.gold_load(spark, args.db, f"{base}/warehouse/{args.db}.db",
-                                sp.institutions, sp.financials, _staged_rows(spark, base), run)
+            gold_stage(spark, base, run, args.db, full_refresh=True)
             print(f"gold tables in database {args.db}")
         else:
-            if args.arg not in report_sql(args.db):
-                raise SystemExit(f"unknown report {args.arg!r}; one of {sorted(report_sql(''))}")
+            if args.arg not in REPORTS:
+                raise SystemExit(f"unknown report {args.arg!r}; one of {sorted(REPORTS)}")
+            if args.base:
+                register_tables(spark, base, args.db)
             run_report(spark, args.db, args.arg).show(truncate=False)
     finally:
         spark.stop()

@@ -12,9 +12,11 @@ job has committed.
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from tierone import schemas as S
 from tierone.config import MASTER_RUN_KEY, RunContext
@@ -39,18 +41,28 @@ class BronzePaths:
     def ledger(self) -> str:
         return f"{self.base}/checkpoints/run_ledger"
 
+    def stage_ledger(self, stage: str) -> str:
+        return f"{self.base}/checkpoints/{stage}_ledger"
+
 
 def land_financials(fin: DataFrame, path: str) -> None:
     # Range-partition on the period (then cert) so each task writes few files
     # and one large quarter still spreads over many tasks.
-    write_dataset(cluster(fin, ["year", "quarter"], ["cert"]), path,
-                  partition_by=["year", "quarter"])
+    # Rows without a cert tie on all three keys; the hash of the row spreads them.
+    spread = fin.withColumn("_spread", F.xxhash64(*fin.columns))
+    laid_out = cluster(spread, ["year", "quarter"], ["cert"], ["_spread"]).drop("_spread")
+    write_dataset(laid_out, path, partition_by=["year", "quarter"])
 
 
-def ingest(spark: SparkSession, sf_dir: str, paths: BronzePaths, run: RunContext) -> list[Row]:
-    """Land every pending unit; return the units this run landed."""
+def ingest(spark: SparkSession, sf_dir: str, paths: BronzePaths, run: RunContext,
+           force: Collection[str] = ()) -> list[Row]:
+    """Land every pending unit and those named in ``force`` (``["*"]``: all);
+    return the units this run landed."""
     units = ledger.work_units(spark, fixtures.financial_periods(spark, sf_dir))
-    pending = ledger.pending_units(units, ledger.read_ledger(spark, paths.ledger)).collect()
+    done = ledger.read_ledger(spark, paths.ledger).filter(~F.col("run_key").isin(*force))
+    if "*" in force:
+        done = done.limit(0)
+    pending = ledger.pending_units(units, done).collect()
 
     master = [u for u in pending if u.run_key == MASTER_RUN_KEY]
     if master:

@@ -90,11 +90,20 @@ class SilverPaths:
         return f"{self.base}/quarantine/financials"
 
 
+def _clear_rejects(spark: SparkSession, path: str, schema: T.StructType, run: RunContext,
+                   written: Observation) -> None:
+    """Without rejects a dynamic overwrite replaces nothing: empty the run's own folder."""
+    if not observed_rows(written):
+        fields = [f for f in schema.fields if f.name != "_run_id"]
+        write_dataset(spark.createDataFrame([], T.StructType(fields)), f"{path}/_run_id={run.run_id}")
+
+
 def _write_pair(clean: DataFrame, bad: DataFrame, clean_path: str, bad_path: str,
-                clean_parts: list[str], name: str) -> tuple[int, int]:
+                clean_parts: list[str], name: str, run: RunContext) -> tuple[int, int]:
     clean_obs, bad_obs = Observation(f"{name}_clean"), Observation(f"{name}_quarantine")
     write_dataset(clean, clean_path, partition_by=clean_parts, observe=clean_obs)
     write_dataset(bad, bad_path, partition_by=["_run_id"], observe=bad_obs)
+    _clear_rejects(bad.sparkSession, bad_path, bad.schema, run, bad_obs)
     n_clean, n_bad = observed_rows(clean_obs), observed_rows(bad_obs)
     return n_clean + n_bad, n_clean
 
@@ -141,7 +150,7 @@ def run_silver(spark: SparkSession, bronze_inst: DataFrame, bronze_fin: DataFram
         ti = tag_institutions(bronze_inst)
         inst_total, inst_clean = _write_pair(
             silver_institutions(ti, run), quarantine_institutions(ti, run),
-            paths.institutions, paths.quarantine_institutions, [], "institutions")
+            paths.institutions, paths.quarantine_institutions, [], "institutions", run)
         rows = rows.unionByName(counts_from_observed(
             spark, C.DATASET_INSTITUTIONS, C.STAGE_SILVER, inst_total, inst_clean, run))
 
@@ -152,6 +161,7 @@ def run_silver(spark: SparkSession, bronze_inst: DataFrame, bronze_fin: DataFram
         bad_obs = Observation("financials_quarantine")
         write_dataset(quarantine_financials(tf, run), paths.quarantine_financials,
                       partition_by=["_run_id"], observe=bad_obs)
+        _clear_rejects(spark, paths.quarantine_financials, S.QUARANTINE_FINANCIALS, run, bad_obs)
         rows = rows.unionByName(counts_from_observed(
             spark, C.DATASET_FINANCIALS, C.STAGE_SILVER,
             fin_clean + observed_rows(bad_obs), fin_clean, run))

@@ -1,61 +1,24 @@
-"""The gold verification reports as Spark SQL over the catalog tables.
-
-After :func:`tierone.plans.pipeline.run_pipeline`, the gold database holds
-``bank_health_metrics``, ``dim_institution`` and ``dq_scorecard`` with the
-published names and columns, so report SQL written for them runs unchanged
-apart from three deliberate differences: averages round through the pinned
-decimal rule (so results do not depend on summation order), and tie-breaks
-make the ordered reports deterministic (``stalp`` after ``bank_count``,
-``cert`` before the sample limit, ``run_id`` after ``dataset``).
-Ordinal ``GROUP BY 1`` / ``ORDER BY 1`` work as written (Spark's
-``groupByOrdinal`` / ``orderByOrdinal``).
-"""
+"""The gold reports over the catalog tables of a database, by name."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
 
-from tierone.functions.rounding import round_half_up_sql as r
+from pyspark.sql import DataFrame, SparkSession
 
+from tierone.plans import reports
 
-def report_sql(db: str) -> dict[str, str]:
-    t = f"`{db}`"
-    return {
-        "capital_distribution": f"""
-SELECT capital_adequacy_flag,
-       COUNT(*) AS bank_quarters,
-       {r("AVG(rbct1)", 2)} AS avg_t1_ratio,
-       {r("AVG(npl_ratio_pct)", 3)} AS avg_npl_pct
-FROM {t}.bank_health_metrics
-WHERE year = 2024
-GROUP BY 1
-ORDER BY 1""",
-        "quarter_trend": f"""
-SELECT year, quarter,
-       COUNT(DISTINCT cert) AS bank_count,
-       {r("AVG(rbct1)", 2)} AS avg_tier1_ratio,
-       {r("AVG(npl_ratio_pct)", 3)} AS avg_npl_pct
-FROM {t}.bank_health_metrics
-GROUP BY 1, 2
-ORDER BY 1, 2""",
-        "regional_summary": f"""
-SELECT stalp, COUNT(*) AS bank_count, {r("AVG(rbct1)", 2)} AS avg_t1
-FROM {t}.bank_health_metrics
-WHERE year = 2024 AND quarter = 4
-GROUP BY stalp
-ORDER BY bank_count DESC, stalp""",
-        "dim_current_sample": f"""
-SELECT cert, name, effective_date, expiry_date, is_current
-FROM {t}.dim_institution
-WHERE is_current = TRUE
-ORDER BY cert
-LIMIT 5""",
-        "dq_scorecard_audit": f"""
-SELECT run_id, dataset, total_records, clean_records, dq_pass_pct
-FROM {t}.dq_scorecard
-ORDER BY dataset, run_id""",
-    }
+#: report -> (table it reads, function over that table)
+REPORTS: dict[str, tuple[str, Callable[..., DataFrame]]] = {
+    "capital_distribution": ("bank_health_metrics", reports.capital_distribution),
+    "quarter_trend": ("bank_health_metrics", reports.quarter_trend),
+    "regional_summary": ("bank_health_metrics", reports.regional_summary),
+    "dim_current_sample": ("dim_institution", reports.dim_current_sample),
+    "dq_scorecard_audit": ("dq_scorecard", reports.scorecard_audit),
+}
 
 
-def run_report(spark: SparkSession, db: str, name: str) -> DataFrame:
-    return spark.sql(report_sql(db)[name])
+def run_report(spark: SparkSession, db: str, name: str, **parameters: int) -> DataFrame:
+    """``parameters`` go to the report: ``year``, ``quarter`` or ``n``."""
+    table, report = REPORTS[name]
+    return report(spark.table(f"`{db}`.{table}"), **parameters)

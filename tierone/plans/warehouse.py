@@ -33,9 +33,9 @@ from tierone.plans import gold
 from tierone.sources.catalog import (
     drop_tables,
     ensure_database,
+    ensure_external,
     register_external,
     save_table,
-    set_table_comment,
 )
 from tierone.sources.parquet import cluster
 
@@ -58,13 +58,27 @@ HEALTH_TABLE = "bank_health_metrics"
 DIM_TABLE = "dim_institution"
 
 
+def table_path(spark: SparkSession, db: str, table: str) -> str:
+    """Serving tables lie at explicit places under the database's folder."""
+    return f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/{table}"
+
+
+def register_serving(spark: SparkSession, db: str) -> None:
+    """The serving tables at their places, with whatever earlier processes left there."""
+    for table, schema, parts in ((HEALTH_TABLE, S.BANK_HEALTH_METRICS, ["year"]),
+                                 (DIM_TABLE, S.DIM_INSTITUTION, [])):
+        ensure_external(spark, db, table, schema, table_path(spark, db, table), parts,
+                        S.TABLE_COMMENTS[table])
+    ensure_scorecard(spark, db)
+
+
 def build_health(spark: SparkSession, db: str, run: RunContext,
                  years: list[int] | None = None) -> None:
     """Build ``bank_health_metrics``: all years, or only ``years``."""
     table = f"{db}.{HEALTH_TABLE}"
     inst = spark.table(f"{db}.institutions_raw")
     fin = spark.table(f"{db}.financials_raw")
-    incremental = years is not None and spark.catalog.tableExists(table)
+    incremental = years is not None
     if incremental:
         if not years:
             return
@@ -75,32 +89,32 @@ def build_health(spark: SparkSession, db: str, run: RunContext,
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .insertInto(table))
     else:
-        (laid_out.write.mode("overwrite").format("parquet").partitionBy("year")
-         .saveAsTable(table))
-        set_table_comment(spark, db, HEALTH_TABLE, S.TABLE_COMMENTS[HEALTH_TABLE])
+        path = table_path(spark, db, HEALTH_TABLE)
+        (laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("year").parquet(path))
+        drop_tables(spark, db, [HEALTH_TABLE])
+        register_serving(spark, db)
 
 
 def build_dim(spark: SparkSession, db: str, run: RunContext) -> None:
     inst = spark.table(f"{db}.institutions_raw")
     (cluster(gold.dim_institution(inst, run), [], ["cert", "stalp"])
-     .write.mode("overwrite").format("parquet")
-     .saveAsTable(f"{db}.{DIM_TABLE}"))
-    set_table_comment(spark, db, DIM_TABLE, S.TABLE_COMMENTS[DIM_TABLE])
+     .write.mode("overwrite").parquet(table_path(spark, db, DIM_TABLE)))
+    spark.catalog.refreshTable(f"{db}.{DIM_TABLE}")
 
 
 def build_serving(spark: SparkSession, db: str, run: RunContext,
                   years: list[int] | None = None, rebuild_dim: bool = True) -> None:
     """Full build by default; ``years`` limits the fact table to those years."""
+    register_serving(spark, db)
     build_health(spark, db, run, years)
-    if rebuild_dim or not spark.catalog.tableExists(f"{db}.{DIM_TABLE}"):
+    if rebuild_dim:
         build_dim(spark, db, run)
 
 
 def ensure_scorecard(spark: SparkSession, db: str) -> str:
-    name = f"`{db}`.`dq_scorecard`"
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} (\n  {S.ddl(S.DQ_SCORECARD)}\n)\nUSING parquet\n"
-        f"PARTITIONED BY (run_date)\nCOMMENT '{S.TABLE_COMMENTS['dq_scorecard']}'")
+    ensure_external(spark, db, "dq_scorecard", S.DQ_SCORECARD, table_path(spark, db, "dq_scorecard"),
+                    ["run_date"], S.TABLE_COMMENTS["dq_scorecard"])
     return f"{db}.dq_scorecard"
 
 
@@ -113,8 +127,13 @@ def append_scorecard(spark: SparkSession, db: str, rows: DataFrame) -> None:
 
 
 def append_pipeline_row(spark: SparkSession, db: str, run: RunContext) -> None:
+    """Total the silver rows that no earlier pipeline row covers, whichever run made them."""
     table = ensure_scorecard(spark, db)
-    per_dataset = spark.table(table).filter(F.col("pipeline_stage") != F.lit(STAGE_GOLD))
+    card = spark.table(table)
+    covered = card.filter(F.col("pipeline_stage") == F.lit(STAGE_GOLD)).agg(
+        F.max("created_at").alias("covered"))
+    per_dataset = (card.filter(F.col("pipeline_stage") != F.lit(STAGE_GOLD)).crossJoin(covered)
+                   .filter(F.col("covered").isNull() | (F.col("created_at") > F.col("covered"))))
     # Materialise the totals first: the append must not re-read its own output.
     row = pipeline_row(per_dataset, DATASET_PIPELINE, STAGE_GOLD, run).checkpoint()
     append_scorecard(spark, db, row)

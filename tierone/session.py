@@ -58,6 +58,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         # Local / test sessions only: a cluster names a shared folder itself.
         configured = tempfile.mkdtemp(prefix="tierone-ckpt-")
     sc.setCheckpointDir(configured)

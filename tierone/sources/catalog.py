@@ -44,6 +44,15 @@ def register_external(spark: SparkSession, db: str, table: str, schema: T.Struct
         spark.catalog.recoverPartitions(f"{db}.{table}")
 
 
+def ensure_external(spark: SparkSession, db: str, table: str, schema: T.StructType, path: str,
+                    partition_by: Sequence[str] = (), comment: str | None = None) -> None:
+    """Register ``path`` unless this catalog has the table; the folder is made if absent."""
+    if not spark.catalog.tableExists(f"{db}.{table}"):
+        empty = spark.createDataFrame([], schema).write.mode("append")
+        (empty.partitionBy(*partition_by) if partition_by else empty).parquet(path)
+        register_external(spark, db, table, schema, path, partition_by, comment)
+
+
 def set_table_comment(spark: SparkSession, db: str, table: str, comment: str) -> None:
     text = comment.replace("'", "\\'")
     spark.sql(f"ALTER TABLE {_q(db)}.{_q(table)} SET TBLPROPERTIES ('comment' = '{text}')")

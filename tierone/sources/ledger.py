@@ -4,14 +4,14 @@ A unit is the institution master or one (year, quarter) of financials. The
 ledger is a two-column Parquet table that only grows: a unit's row is
 appended after the write that produced it has committed, so a crash loses at
 most the units in flight, and they are simply redone (partition writes are
-idempotent). A missing ledger means a first run; any other read error is
-raised, never mistaken for "nothing done yet".
+idempotent). Bronze, silver and gold each keep one; what a stage has to do is
+the difference to the stage before it, so a run that died between two stages
+is completed by the next one.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierone.config import FINANCIALS_RUN_KEY_FORMAT, MASTER_RUN_KEY
@@ -33,12 +33,9 @@ def work_units(spark: SparkSession, periods: DataFrame) -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(LEDGER).parquet(path)
-    except AnalysisException as exc:
-        if exc.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], LEDGER)
-        raise
+    """The ledger; an empty one is created at the first use of ``path``."""
+    spark.createDataFrame([], LEDGER).write.mode("append").parquet(path)
+    return spark.read.schema(LEDGER).parquet(path)
 
 
 def pending_units(units: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -50,6 +47,31 @@ def record(units: DataFrame, path: str, completed_at: str) -> None:
      .write.mode("append").format("parquet").save(path))
 
 
+def stage_pending(upstream: DataFrame, own: DataFrame) -> DataFrame:
+    """``run_key, completed_at`` of units whose latest upstream version this stage has not done.
+
+    A stage's ledger holds, per unit, the upstream version it processed, so a
+    unit that is landed again is pending again downstream.
+    """
+    def latest(ledger: DataFrame, name: str) -> DataFrame:
+        return ledger.groupBy("run_key").agg(F.max("completed_at").alias(name))
+
+    both = latest(upstream, "completed_at").join(latest(own, "done"), "run_key", "left")
+    return (both.filter(F.col("done").isNull() | (F.col("done") < F.col("completed_at")))
+            .select("run_key", "completed_at", *period_of(F.col("run_key"))))
+
+
+def period_of(run_key: Column) -> tuple[Column, Column]:
+    """(year, quarter) in a financials key; NULL for the master."""
+    digits = FINANCIALS_RUN_KEY_FORMAT.replace("%d", "([0-9]+)")
+    parts = [F.nullif(F.regexp_extract(run_key, digits, i), F.lit("")).cast("int") for i in (1, 2)]
+    return parts[0].alias("year"), parts[1].alias("quarter")
+
+
+def record_versions(versions: DataFrame, path: str) -> None:
+    versions.select("run_key", "completed_at").write.mode("append").format("parquet").save(path)
+
+
 def completed(ledger: DataFrame) -> DataFrame:
     """One row per unit: its first completion."""
     return ledger.groupBy("run_key").agg(F.min("completed_at").alias("completed_at"))

@@ -1,64 +1,78 @@
 """Incremental silver validation with Structured Streaming.
 
-The batch pipeline keeps a run ledger to avoid re-processing landed units.
-Structured Streaming gives the same guarantee natively: the file source
-records every bronze file it has consumed in the query checkpoint, and the
-file sink commits output files through its own metadata log, so each bronze
-file is validated exactly once even if executors or the driver fail mid-run.
-``trigger(availableNow=True)`` processes whatever has landed since the last
-run and stops — the quarterly cadence of the pipeline.
+The file source records every bronze file it has consumed in the query
+checkpoint; ``trigger(availableNow=True)`` works off whatever has landed since
+the last run, in micro-batches bounded by ``maxFilesPerTrigger``, and stops.
 
-Two queries read the same bronze folder: one writes clean rows (partitioned
-by year, quarter), the other quarantined rows (partitioned by ``_run_id``).
-Each has its own checkpoint under ``checkpoint``. ``availableNow`` honours
-``maxFilesPerTrigger``, so a large backlog is split into bounded micro-batches
-(each one commit in the sink's log) instead of one batch over everything.
+A micro-batch only says which quarters have new files. Each such quarter is
+validated whole from bronze and replaces its silver rows and its rejects, the
+same overwrite the batch path does. So a quarter that is landed again replaces
+its old rows, a quarter split over two batches ends complete, and a batch that
+is run again after a failure changes nothing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierone import schemas as S
 from tierone.config import RunContext
-from tierone.plans.silver import quarantine_financials, silver_financials, tag_financials
+from tierone.functions.period import in_periods
+from tierone.plans.silver import quarantine_financials, tag_financials, write_silver_financials
+from tierone.sources.parquet import read_dataset, write_dataset
 
 # Files per micro-batch: with ~128 MB Parquet files, about 1.3 TB per batch.
 DEFAULT_MAX_FILES_PER_TRIGGER = 10_000
 
+_REJECT_PARTS = ["_run_id", "year", "quarter"]
+
+
+def _quarters(df: DataFrame) -> set[tuple[int, int]]:
+    """Distinct periods: bounded by the calendar."""
+    return {(r.year, r.quarter) for r in df.select("year", "quarter").distinct().collect()}
 
-def _bronze_stream(spark: SparkSession, bronze_path: str,
-                   max_files_per_trigger: int | None) -> DataFrame:
-    reader = spark.readStream.schema(S.BRONZE_FINANCIALS).format("parquet")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(bronze_path)
+
+def _replace_rejects(bad: DataFrame, path: str, run: RunContext,
+                     periods: set[tuple[int, int]]) -> None:
+    spark = bad.sparkSession
+    write_dataset(bad, path, partition_by=_REJECT_PARTS)
+    own = read_dataset(spark, path, S.QUARANTINE_FINANCIALS).filter(F.col("_run_id") == run.run_id)
+    none = spark.createDataFrame([], T.StructType(
+        [f for f in S.QUARANTINE_FINANCIALS.fields if f.name not in _REJECT_PARTS]))
+    for year, quarter in sorted((_quarters(own) & periods) - _quarters(bad)):
+        write_dataset(none, f"{path}/_run_id={run.run_id}/year={year}/quarter={quarter}")
 
 
 def incremental_silver_financials(spark: SparkSession, bronze_path: str, silver_path: str,
                                   quarantine_path: str, checkpoint: str, run: RunContext,
                                   max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
-                                  timeout_s: int = 3600) -> str:
-    """Validate every bronze file not yet processed; return the silver path."""
-    clean = silver_financials(tag_financials(
-        _bronze_stream(spark, bronze_path, max_files_per_trigger)), run)
-    bad = quarantine_financials(tag_financials(
-        _bronze_stream(spark, bronze_path, max_files_per_trigger)), run)
+                                  timeout_s: int | None = None) -> str:
+    """Validate every quarter with unprocessed bronze files; return the silver path.
+
+    Runs until the backlog is done; ``timeout_s`` is for callers that want a limit.
+    """
+    def validate(batch: DataFrame, batch_id: int) -> None:
+        periods = _quarters(batch)
+        if not periods:
+            return
+        whole = read_dataset(batch.sparkSession, bronze_path, S.BRONZE_FINANCIALS)
+        tagged = tag_financials(whole.filter(in_periods(sorted(periods))))
+        write_silver_financials(tagged, silver_path, run)
+        _replace_rejects(quarantine_financials(tagged, run), quarantine_path, run, periods)
 
-    queries = [
-        (clean.writeStream.format("parquet").outputMode("append")
-         .partitionBy("year", "quarter")
-         .option("checkpointLocation", f"{checkpoint}/clean")
-         .trigger(availableNow=True).start(silver_path)),
-        (bad.writeStream.format("parquet").outputMode("append")
-         .partitionBy("_run_id")
-         .option("checkpointLocation", f"{checkpoint}/quarantine")
-         .trigger(availableNow=True).start(quarantine_path)),
-    ]
-    for q in queries:
-        if not q.awaitTermination(timeout_s):
-            q.stop()
-            raise TimeoutError(f"streaming query {q.id} did not finish in {timeout_s}s")
-        if q.exception() is not None:
-            raise q.exception()
+    reader = spark.readStream.schema(S.BRONZE_FINANCIALS).format("parquet")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    query = (reader.load(bronze_path).writeStream.foreachBatch(validate)
+             .option("checkpointLocation", f"{checkpoint}/clean")
+             .trigger(availableNow=True).start())
+    try:
+        if timeout_s is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout_s):
+            raise TimeoutError(f"streaming query {query.id} did not finish in {timeout_s}s")
+    finally:
+        query.stop()
     return silver_path
