@@ -122,7 +122,7 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     rows = (sums.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("d", "x"))).alias("v"))
             .select("lang", F.col("v.x").alias("v")).collect())
     rows = sorted((r["lang"], r["v"]) for r in rows)
-    matrix = np.array([v for _, v in rows], dtype=np.float64).reshape(len(rows), -1)
+    matrix = np.array([v for _, v in rows], dtype=np.float64).reshape(len(rows), DIMENSIONS)
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
     return [lang for lang, _ in rows], matrix / np.where(norms, norms, 1)
 
