@@ -10,8 +10,9 @@ Version history
     The window is partitioned by key. Exact duplicates are removed first, so a
     key's window holds at most one row per (snapshot date, attribute variant):
     its size is bounded by the number of snapshot dates — a calendar bound
-    that does not grow with the number of keys or with the data volume. Both
-    windows share one partitioning, so the plan has a single shuffle.
+    that does not grow with the number of keys or with the data volume. The
+    plan has two shuffles: one for the duplicates, which keeps a key with many
+    repeated rows out of one task, and one that both windows share.
 
 Period-over-period
     Compares each (year, quarter) row of an already-aggregated table with the
