@@ -1,6 +1,7 @@
 """Storage behaviour: round trips, overwrite modes, ledger, idempotent runs."""
 
 import datetime as dt
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -76,6 +77,10 @@ def test_pipeline_is_idempotent(spark, sf):
     assert inv4 == {**inv1, "dq_scorecard": 7}
     sizes = catalog.table_sizes(spark, "tierone_test_pipe").collect()
     assert all(r.size_kb > 0 for r in sizes) and len(sizes) == 5
+    for r in sizes:
+        where = catalog.table_location(spark, "tierone_test_pipe", r.table_id).removeprefix("file:")
+        files = Path(where).rglob("*.parquet")
+        assert r.size_kb == sum(f.stat().st_size for f in files) / 1024
 
 
 def test_run_after_a_death_between_stages_completes_it(spark, sf):

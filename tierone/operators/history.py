@@ -15,10 +15,11 @@ Version history
     repeated rows out of one task, and one that both windows share.
 
 Period-over-period
-    Compares each (year, quarter) row of an already-aggregated table with the
-    previous calendar quarter through an equi-join on the computed previous
-    period, rather than an unpartitioned window (which would move every row
-    into one task).
+    Each (year, quarter) row of an already-aggregated table plays two roles:
+    its own quarter, and the previous one of the quarter after. Grouping both
+    by quarter pairs them in one pass, with neither a self-join (which would
+    aggregate the input twice) nor an unpartitioned window (which would move
+    every row into one task).
 """
 
 from __future__ import annotations
@@ -59,22 +60,33 @@ def scd2_versions(snapshots: DataFrame, run: RunContext, key: str = "cert",
             ))
 
 
-def previous_quarter(year, quarter):
-    """(year, quarter) of the calendar quarter before."""
-    prev_year = F.when(quarter == F.lit(1), year - F.lit(1)).otherwise(year)
-    prev_quarter = F.when(quarter == F.lit(1), F.lit(4)).otherwise(quarter - F.lit(1))
-    return prev_year.cast("int"), prev_quarter.cast("int")
+def next_quarter(year, quarter):
+    """(year, quarter) of the calendar quarter after."""
+    last = quarter == F.lit(4)
+    next_year = F.when(last, year + F.lit(1)).otherwise(year)
+    return next_year.cast("int"), F.when(last, F.lit(1)).otherwise(quarter + F.lit(1)).cast("int")
 
 
 def with_previous_quarter(df: DataFrame, value_cols: list[str],
                           prefix: str = "prev_") -> DataFrame:
     """Attach the previous calendar quarter's ``value_cols`` (NULL if absent).
 
-    ``df`` must hold one row per (year, quarter).
+    ``df`` must hold one row per (year, quarter). A row without a year or
+    quarter is kept and has no previous quarter.
     """
-    py, pq = previous_quarter(F.col("year"), F.col("quarter"))
-    left = df.withColumn("_py", py).withColumn("_pq", pq)
-    right = df.select(
-        F.col("year").alias("_py"), F.col("quarter").alias("_pq"),
-        *[F.col(c).alias(prefix + c) for c in value_cols])
-    return left.join(right, ["_py", "_pq"], "left").drop("_py", "_pq")
+    others = [c for c in df.columns if c not in ("year", "quarter")]
+    own = F.struct(*others)
+    values = F.struct(*[F.col(c).alias(prefix + c) for c in value_cols])
+    never = F.lit(False)
+    after_year, after_quarter = next_quarter(F.col("year"), F.col("quarter"))
+    roles = F.array(
+        F.struct("year", "quarter", own.alias("own"), F.when(never, values).alias("before")),
+        F.struct(after_year.alias("year"), after_quarter.alias("quarter"),
+                 F.when(never, own).alias("own"), values.alias("before")))
+    dated = F.col("year").isNotNull() & F.col("quarter").isNotNull()
+    return (df.select(F.explode(roles).alias("role")).select("role.*")
+            .filter(F.col("own").isNotNull() | dated)
+            .groupBy("year", "quarter")
+            .agg(F.max("own").alias("own"), F.max("before").alias("before"))
+            .filter(F.col("own").isNotNull())
+            .select("year", "quarter", "own.*", "before.*"))

@@ -22,7 +22,8 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-# Bytes per value of fixed-width types; anything else counts 8.
+# Bytes per value of fixed-width types. Other types but text and binary have no
+# size that one expression gives, so a side that holds them is never broadcast.
 _WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
           T.DateType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
           T.TimestampNTZType: 8, T.DecimalType: 16}
@@ -34,7 +35,7 @@ def _row_bytes(schema: T.StructType) -> Column:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             parts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
         else:
-            parts.append(F.lit(_WIDTH.get(type(f.dataType), 8)))
+            parts.append(F.lit(_WIDTH[type(f.dataType)]))
     total = F.lit(0)
     for p in parts:
         total = total + p
@@ -50,6 +51,9 @@ def measure(df: DataFrame) -> tuple[int, int]:
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    if not all(type(f.dataType) in _WIDTH or isinstance(f.dataType, (T.StringType, T.BinaryType))
+               for f in df.schema.fields):
+        return False
     rows, size = measure(df)
     return rows <= max_rows and size <= max_bytes
 

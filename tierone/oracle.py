@@ -203,6 +203,9 @@ SELECT dataset, _source, _ingested_at, COUNT(*) AS row_count FROM (
   UNION ALL SELECT 'financials', _source, _ingested_at FROM fin) t
 GROUP BY dataset, _source, _ingested_at"""
     q["bronze_roundtrip"] = q["bronze_institutions"]
+    q["bronze_write_counts"] = with_(INST, FIN) + """
+SELECT 'institutions' AS dataset, COUNT(*) AS row_count FROM inst
+UNION ALL SELECT 'financials', COUNT(*) FROM fin"""
     q["bronze_partitioned_scan"] = with_(FIN) + "\nSELECT * FROM fin WHERE year = 2024 AND quarter = 4"
     q["ingest_work_units"] = with_(FIN, UNITS) + "\nSELECT run_key FROM units"
     q["ingest_pending"] = with_(FIN, UNITS) + """
@@ -309,6 +312,7 @@ SELECT * FROM (
   UNION ALL SELECT 'financials_raw', COUNT(*) FROM fin_s
   UNION ALL SELECT 'institutions_raw', COUNT(*) FROM inst_s) t
 ORDER BY table_id"""
+    q["table_inventory_sizes"] = f"SELECT *, TRUE AS has_size FROM ({q['table_inventory']}) i"
     q["scd2_history"] = with_(*BASE, SNAPSHOTS) + f"""
 ,
 chg AS (

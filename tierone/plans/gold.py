@@ -39,16 +39,15 @@ def with_period(fin: DataFrame) -> DataFrame:
     })
 
 
-def bank_health_metrics(fin: DataFrame, inst: DataFrame, run: RunContext,
-                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    facts = fin.select("cert", "repdte", "year", "quarter", "asset", "dep", "lnlsnet",
-                       "rbct1", "nperfv", "netinc")
-    dim = inst.select("cert", "name", "city", "stalp")
-    joined = lookup_join(facts, dim, "cert", "left", max_broadcast_rows)
+def health_facts(fin: DataFrame, run: RunContext) -> DataFrame:
+    """The columns of ``bank_health_metrics`` that come from the financials.
+
+    ``cert`` is unique among the institutions, so reports that use no
+    institution column get the same rows from here without the join.
+    """
     asset = F.col("asset")
-    return joined.select(
-        "cert", "name", "city", "stalp", "repdte", "year", "quarter", "asset", "dep",
-        "lnlsnet", "rbct1",
+    return fin.select(
+        "cert", "repdte", "year", "quarter", "asset", "dep", "lnlsnet", "rbct1",
         pct_of_assets(F.col("nperfv"), asset, 2).alias("npl_ratio_pct"),
         pct_of_assets(F.col("netinc"), asset, 4).alias("roa_pct"),
         pct_of_assets(F.col("dep"), asset, 2).alias("deposit_to_asset_pct"),
@@ -57,6 +56,13 @@ def bank_health_metrics(fin: DataFrame, inst: DataFrame, run: RunContext,
     )
 
 
+def bank_health_metrics(fin: DataFrame, inst: DataFrame, run: RunContext,
+                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    dim = inst.select("cert", "name", "city", "stalp")
+    return lookup_join(health_facts(fin, run), dim, "cert", "left",
+                       max_broadcast_rows).select(*HEALTH_COLUMNS)
+
+
 def dim_institution(inst: DataFrame, run: RunContext) -> DataFrame:
     return inst.select(
         "cert", "name", "city", "stalp", "instcat", "charterclass", "active",

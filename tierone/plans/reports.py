@@ -92,13 +92,13 @@ def dq_pass_trend(tagged_fin: DataFrame) -> DataFrame:
         .orderBy("year", "quarter"))
 
 
-def clustered_lookup(dim: DataFrame, health: DataFrame, flag: str) -> DataFrame:
-    """Current dimension rows of institutions carrying ``flag`` in the latest
-    reported quarter — a key lookup against the ``cert``-clustered dimension."""
-    latest = health.agg(F.max(F.struct("year", "quarter")).alias("p")).select("p.year", "p.quarter")
-    flagged = (health.filter(F.col("capital_adequacy_flag") == F.lit(flag))
-               .join(latest, ["year", "quarter"], "left_semi")
+def clustered_lookup(dim: DataFrame, latest: DataFrame, flag: str) -> DataFrame:
+    """Current dimension rows of institutions carrying ``flag`` in ``latest``,
+    the health rows of one quarter — a key lookup against the ``cert``-clustered
+    dimension, whose scan gets the range of the keys looked up."""
+    flagged = (latest.filter(F.col("capital_adequacy_flag") == F.lit(flag))
                .select("cert").distinct())
-    return (dim.filter(F.col("is_current"))
+    keys = flagged.agg(F.min("cert").alias("lo"), F.max("cert").alias("hi")).first()
+    return (dim.filter(F.col("is_current") & F.col("cert").between(F.lit(keys["lo"]), F.lit(keys["hi"])))
             .join(flagged, "cert", "left_semi")
             .select("cert", "name", "city", "stalp", "instcat", "charterclass", "active"))

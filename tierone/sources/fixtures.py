@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from tierone.config import FIXTURE_SOURCE, RunContext
 from tierone.functions.period import quarter_end_repdte
-from tierone.operators.joins import maybe_broadcast
 
 # Fixed values of the fixture mapping (defect injection moduli and scales).
 CERT_BASE = 10001
@@ -69,10 +68,9 @@ def institutions(spark: SparkSession, sf_dir: str, run: RunContext) -> DataFrame
         "c_custkey", "c_name", "c_nationkey", "c_acctbal")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    # One checked broadcast covers the whole geography side (nation x region).
-    geo = (nation.join(region, nation.n_regionkey == region.r_regionkey)
-           .select("n_nationkey", "n_name", "r_name"))
-    rows = customer.join(maybe_broadcast(geo), customer.c_nationkey == geo.n_nationkey)
+    # Spark's own size estimate of the two files decides how they are joined.
+    rows = (customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+            .join(region, nation.n_regionkey == region.r_regionkey))
 
     k = F.col("c_custkey").cast("bigint")
     cert = F.when(k % 97 == 3, F.lit(None)).otherwise(F.lit(CERT_BASE) + k)
