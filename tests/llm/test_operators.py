@@ -298,6 +298,37 @@ def test_quality_keeps_clean_documents(spark, sf, odd, empty):
     assert quality.select(empty, labels).count() == 0
 
 
+def test_quality_rejects_toxic_documents(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(300)]
+    rows, marks = [], []
+    for i in range(1200):
+        toxic = i % 6 == 0
+        text = rng.choices(words, k=rng.randint(5, 400)) + ["Vilest" if toxic else "fine"]
+        rng.shuffle(text)
+        rows.append((i, " ".join(text)))
+        if i % 4 < 2:
+            marks.append((i, 1, int(toxic)))
+    # A word of one toxic document only, and rows without any word.
+    rows += [(2000, "once " * 500), (2001, "w1 once"), (2002, None), (2003, "")]
+    marks.append((2000, 1, 1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in quality.select(docs, labels).collect()}
+    assert not any(got[i].kept for i in range(0, 1200, 6))
+    clean = [got[i].kept for i in range(1200) if i % 6]
+    assert sum(clean) >= 0.98 * len(clean) and got[2001].kept
+    assert got[2002].harm == got[2003].harm == 0
+    # Brute force: documents of the fit with the word, both kinds scaled to the smaller one.
+    fit = quality.labelled(labels).filter("fit").collect()
+    bad, good = sum(r.toxic for r in fit), sum(r.clean for r in fit)
+    in_bad = sum(r.toxic and r.doc_id < 1200 for r in fit)
+    few = min(bad, good)
+    assert got[0].harm == pytest.approx(np.log((in_bad * few / bad + 3) / 3), rel=1e-5)
+    no_toxic = quality.select(docs, labels.filter("toxic = 0"))
+    assert no_toxic.agg(F.max("harm")).first()[0] == 0
+
+
 def test_kth_largest_with_ties(spark):
     values = [float(i % 700) / 3 for i in range(9000)]
     rows = spark.createDataFrame([(v,) for v in values], "x double")

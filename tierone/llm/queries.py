@@ -54,7 +54,7 @@ def op9_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return (quality.select(documents(spark, sf), quality.labels_of(spark, sf))
-            .select("doc_id", "n_grams", "log_weight", "kept"))
+            .select("doc_id", "n_grams", "log_weight", "harm", "kept"))
 
 
 QUERIES: dict[str, Query] = {
