@@ -52,6 +52,20 @@ def test_unchanged_snapshots_add_no_version_and_nulls_compare_equal(spark):
     ]
 
 
+def test_one_version_per_snapshot_date(spark):
+    rows = [
+        (1, "a", "c", "N1", 1, "N", 1, "20230331"),
+        (1, "a", "c", "N1", 1, "SM", 1, "20230331"),      # same date: the greater variant counts
+        (1, None, "z", "N9", 9, "Z", 9, "20230331"),      # NULL is least
+        (1, "a", "c", "N1", 1, "SM", 1, "20230630"),
+        (None, "a", "c", "N1", 1, "N", 1, "20230331"),
+    ]
+    v = scd2_versions(spark.createDataFrame(rows, SNAP_SCHEMA), RUN)
+    assert v.filter("effective_date >= expiry_date").count() == 0
+    assert {(r.cert, r.charterclass, r.effective_date, r.expiry_date) for r in v.collect()} == {
+        (1, "SM", "20230331", "99991231"), (None, "N", "20230331", "99991231")}
+
+
 def test_previous_quarter_crosses_years(spark):
     df = spark.createDataFrame([(2023, 4, 1.0), (2024, 1, 3.0), (2024, 3, 5.0)],
                                "year int, quarter int, v double")

@@ -215,3 +215,46 @@ def test_incremental_gold_rebuilds_only_the_given_years(spark, sf):
     assert second.pending_units == 0
     loaded = spark.table(f"{db_b}.bank_health_metrics").agg(F.max("_loaded_at")).first()[0]
     assert loaded == RUN1.run_ts
+
+
+def test_clean_row_in_the_wrong_period_is_an_error(spark):
+    import pytest
+
+    from tierone.plans import silver
+    moved = [(1, "20240331", 5, 5, 1, 1, 1, 1, 10.0, 1, "t", "s", 2024, 1),
+             (2, "20240930", 5, 5, 1, 1, 1, 1, 10.0, 1, "t", "s", 2024, 2)]
+    tagged = silver.tag_financials(spark.createDataFrame(moved, S.BRONZE_FINANCIALS))
+    with pytest.raises(ValueError, match="1 clean financials"):
+        silver.write_silver_financials(tagged, scratch_path(spark, "moved"), RUN1)
+
+
+def test_frames_of_a_user_are_landed(spark, sf):
+    import pytest
+
+    from tierone.plans import bronze
+    from tierone.sources import fixtures
+    from tierone.sources.frames import FrameSource
+
+    inst = fixtures.institutions(spark, sf, RUN1).withColumn("extra", F.lit("x"))
+    fin = (fixtures.financials(spark, sf, RUN1).filter("year = 2024")
+           .drop("_ingested_at", "_source").withColumn("quarter", F.col("quarter").cast("string")))
+    base = scratch_path(spark, "frames")
+    source = FrameSource(inst, fin.filter("quarter < 4"), "bank")
+    got = pipeline.run_pipeline(spark, source, RUN1, base, database="tierone_test_frames")
+    assert got.pending_units == 4
+    landed_inst, landed = bronze.read_bronze(spark, bronze.BronzePaths(base))
+    assert landed_inst.count() == inst.count()
+    assert {(r._ingested_at, r._source) for r in landed.select("_ingested_at", "_source").distinct().collect()} == {
+        (RUN1.ingested_at, "bank")}
+    more = FrameSource(inst, fin, "bank")
+    got = pipeline.run_pipeline(spark, more, RUN2, base, database="tierone_test_frames")
+    assert got.pending_units == fin.filter("quarter = 4").select("quarter").distinct().count()
+    same = bronze.read_bronze(spark, bronze.BronzePaths(base))[1].select("cert", "repdte", "asset", "year", "quarter")
+    want = fin.select("cert", "repdte", "asset", "year", F.col("quarter").cast("int").alias("quarter"))
+    assert same.exceptAll(want).count() == want.exceptAll(same).count() == 0
+    with pytest.raises(Exception, match="without a year or quarter"):
+        FrameSource(inst, fin.withColumn("year", F.lit(None).cast("int")), "bank").periods().collect()
+
+
+def test_run_id_round_trip():
+    assert RunContext.from_id(RUN1.run_id) == RUN1

@@ -6,6 +6,9 @@
     python -m tierone gold     --base DIR [--db NAME]
     python -m tierone report   NAME --base DIR [--db NAME]
 
+Stages run one by one share an audit run with ``--run-id YYYYMMDD_HHMMSS``.
+``--shuffle-gb`` and ``--cores`` size shuffles and scans for a large run.
+
 Stages raise on failure, so a failed stage stops the sequence. ``--base``
 defaults to a fresh folder under ``spark.checkpoint.dir``. ``pipeline``
 prints the gold reports at the end. Tables lie at explicit locations under
@@ -21,7 +24,7 @@ from tierone.config import RunContext
 from tierone.plans import bronze
 from tierone.plans.pipeline import gold_stage, register_tables, run_pipeline, silver_stage, staged_rows
 from tierone.plans.sql_reports import REPORTS, run_report
-from tierone.session import build_session, scratch_path
+from tierone.session import MIB, build_session, scale_settings, scratch_path
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -30,10 +33,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("arg", nargs="?", help="SF_DIR for pipeline/bronze, report name for report")
     ap.add_argument("--base", help="root folder of the bronze / silver layers")
     ap.add_argument("--db", default="tierone_gold", help="gold database")
+    ap.add_argument("--run-id", help="YYYYMMDD_HHMMSS; the present time if not given")
+    ap.add_argument("--shuffle-gb", type=int, help="expected shuffle volume of the run")
+    ap.add_argument("--cores", type=int, default=8, help="cores of the cluster, for --shuffle-gb")
     args = ap.parse_args(argv)
 
-    spark = build_session()
-    run = RunContext.now()
+    sizing = scale_settings(args.shuffle_gb * 1024 * MIB, args.cores) if args.shuffle_gb else None
+    spark = build_session(extra=sizing)
+    run = RunContext.from_id(args.run_id) if args.run_id else RunContext.now()
     base = args.base or scratch_path(spark, "run")
     try:
         if args.command == "pipeline":

@@ -99,6 +99,10 @@ class RunContext:
         """ISO-8601 string stamped into bronze ``_ingested_at``."""
         return self.run_ts.strftime("%Y-%m-%dT%H:%M:%S")
 
+    @classmethod
+    def from_id(cls, run_id: str) -> "RunContext":
+        return cls(_dt.datetime.strptime(run_id, "%Y%m%d_%H%M%S"))
+
     @classmethod
     def now(cls) -> "RunContext":
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)

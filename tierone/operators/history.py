@@ -7,12 +7,13 @@ Version history
     (NULL-safe) from the key's previous snapshot. ``expiry_date`` is the next
     version's ``effective_date`` (half-open intervals) or the open expiry.
 
-    The window is partitioned by key. Exact duplicates are removed first, so a
-    key's window holds at most one row per (snapshot date, attribute variant):
-    its size is bounded by the number of snapshot dates — a calendar bound
-    that does not grow with the number of keys or with the data volume. The
-    plan has two shuffles: one for the duplicates, which keeps a key with many
-    repeated rows out of one task, and one that both windows share.
+    A key has one state per snapshot date: of several variants the greatest
+    counts, comparing the attributes in order with NULL least, so no version
+    has an empty interval. The window is partitioned by key and holds one row
+    per snapshot date — a calendar bound that does not grow with the number of
+    keys or with the data volume. The plan has two shuffles: the choice of the
+    variant, pre-aggregated, which keeps a key with many repeated rows out of
+    one task, and one that both windows share.
 
 Period-over-period
     Each (year, quarter) row of an already-aggregated table plays two roles:
@@ -36,10 +37,11 @@ def scd2_versions(snapshots: DataFrame, run: RunContext, key: str = "cert",
                   snapshot_col: str = "repdte",
                   attributes: list[str] | None = None) -> DataFrame:
     attrs = attributes or DIM_ATTRIBUTES
-    snaps = snapshots.select(key, snapshot_col, *attrs).dropDuplicates([key, snapshot_col, *attrs])
+    snaps = (snapshots.groupBy(key, snapshot_col)
+             .agg(F.max(F.struct(*attrs)).alias("_state"))
+             .select(key, snapshot_col, "_state.*"))
 
-    # Attributes break ties so the order is total even with conflicting rows.
-    by_time = Window.partitionBy(key).orderBy(snapshot_col, *attrs)
+    by_time = Window.partitionBy(key).orderBy(snapshot_col)
     state = F.struct(*[F.col(a) for a in attrs])
     prev_state = F.lag(state).over(by_time)
     versions = (snaps

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from tierone import schemas as S
 from tierone.config import MASTER_RUN_KEY, RunContext
 from tierone.functions.period import in_periods
-from tierone.sources import fixtures, ledger
+from tierone.sources import ledger
+from tierone.sources.frames import FixtureSource, Source
 from tierone.sources.parquet import cluster, read_dataset, write_dataset
 
 
@@ -54,11 +55,14 @@ def land_financials(fin: DataFrame, path: str) -> None:
     write_dataset(laid_out, path, partition_by=["year", "quarter"])
 
 
-def ingest(spark: SparkSession, sf_dir: str, paths: BronzePaths, run: RunContext,
+def ingest(spark: SparkSession, source: str | Source, paths: BronzePaths, run: RunContext,
            force: Collection[str] = ()) -> list[Row]:
     """Land every pending unit and those named in ``force`` (``["*"]``: all);
-    return the units this run landed."""
-    units = ledger.work_units(spark, fixtures.financial_periods(spark, sf_dir))
+    return the units this run landed. A ``source`` given as a path is the
+    folder of the fixture tables."""
+    if isinstance(source, str):
+        source = FixtureSource(spark, source)
+    units = ledger.work_units(spark, source.periods())
     done = ledger.read_ledger(spark, paths.ledger).filter(~F.col("run_key").isin(*force))
     if "*" in force:
         done = done.limit(0)
@@ -66,15 +70,14 @@ def ingest(spark: SparkSession, sf_dir: str, paths: BronzePaths, run: RunContext
 
     master = [u for u in pending if u.run_key == MASTER_RUN_KEY]
     if master:
-        write_dataset(fixtures.institutions(spark, sf_dir, run), paths.institutions)
+        write_dataset(source.institutions(run), paths.institutions)
         ledger.record(_units_frame(spark, master), paths.ledger, run.ingested_at)
 
     quarters = [u for u in pending if u.year is not None]
     if quarters:
         periods = [(u.year, u.quarter) for u in quarters]
-        # Date ranges skip other quarters' row groups at the scan; the period
-        # filter keeps the result exact.
-        todo = fixtures.financials(spark, sf_dir, run, periods).filter(in_periods(periods))
+        # A source may return more than asked for; the filter keeps the result exact.
+        todo = source.financials(run, periods).filter(in_periods(periods))
         land_financials(todo, paths.financials)
         ledger.record(_units_frame(spark, quarters), paths.ledger, run.ingested_at)
     return pending

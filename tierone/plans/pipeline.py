@@ -21,6 +21,7 @@ from tierone.plans import bronze, silver, warehouse
 from tierone.session import scratch_path
 from tierone.sources import ledger
 from tierone.sources.catalog import ensure_database
+from tierone.sources.frames import Source
 
 
 @dataclass
@@ -93,10 +94,10 @@ def register_tables(spark: SparkSession, base: str, database: str) -> None:
     warehouse.register_serving(spark, database)
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str, run: RunContext,
+def run_pipeline(spark: SparkSession, source: str | Source, run: RunContext,
                  base: str | None = None, database: str = "tierone_gold",
                  full_refresh: bool = False, force: Collection[str] = ()) -> PipelineResult:
-    """One run.
+    """One run over the fixture tables in a folder, or another ``source``.
 
     Each stage does what the stage before has completed and it has not, so a
     run that follows one that died between two stages picks up its units. A
@@ -105,7 +106,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, run: RunContext,
     all. ``force`` names units to land again (``financials_2024_Q4``).
     """
     base = base or scratch_path(spark, "pipeline")
-    units = bronze.ingest(spark, sf_dir, bronze.BronzePaths(base), run,
+    units = bronze.ingest(spark, source, bronze.BronzePaths(base), run,
                           ["*"] if full_refresh else force)
     silver_stage(spark, base, run, full_refresh)
     gold_stage(spark, base, run, database, full_refresh)

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from tierone import config as C
 from tierone import schemas as S
 from tierone.config import RunContext
-from tierone.functions.period import in_periods
+from tierone.functions.period import derive_quarter, derive_year, in_periods
 from tierone.operators.quality import (
     clean_rows,
     financials_rules,
@@ -120,13 +120,21 @@ def write_silver_financials(tagged: DataFrame, path: str, run: RunContext) -> in
     periods seen in the input and the periods written are observed on the same
     pass (a set bounded by the calendar), and every emptied quarter is cleared
     with an empty overwrite of its own folder.
+
+    Gold takes the period from the partition, so a clean row whose ``repdte``
+    derives another one (or none) is an error, counted on the same pass.
     """
     period = F.struct("year", "quarter")
     seen, written = Observation("financials_in"), Observation("financials_out")
     observed_in = tagged.observe(seen, F.collect_set(period).alias("periods"))
     clean = silver_financials(observed_in, run).observe(
-        written, F.count(F.lit(1)).alias("rows"), F.collect_set(period).alias("periods"))
+        written, F.count(F.lit(1)).alias("rows"), F.collect_set(period).alias("periods"),
+        F.count_if(~(derive_year(F.col("repdte")).eqNullSafe(F.col("year"))
+                     & derive_quarter(F.col("repdte")).eqNullSafe(F.col("quarter")))).alias("moved"))
     write_dataset(clean, path, partition_by=["year", "quarter"])
+    moved = written.get.get("moved", 0)
+    if moved:
+        raise ValueError(f"{moved} clean financials lie in another period than their repdte names")
     empty = tagged.sparkSession.createDataFrame(
         [], T.StructType([f for f in S.SILVER_FINANCIALS.fields
                           if f.name not in ("year", "quarter")]))
