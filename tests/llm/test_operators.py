@@ -422,3 +422,42 @@ def test_common_subsequence_and_chains():
     anchors = [(i * 10, i * 10 + 3) for i in range(12)] + [(55, 400), (60, 2)]
     best = substring.chains(anchors)[0]
     assert best == anchors[:12]
+
+
+def test_exact_passages_between_own_words_are_parts():
+    p = [[i * 1000 + j for j in range(60)] for i in range(5)]
+    own = [[-i * 1000 - j - 1 for j in range(37)] for i in range(10)]
+    got = substring.align(p[0] + p[1], p[0] + own[0] + p[1], [3, 70], [3, 107])
+    assert got == [(0, 60, 0, 60, 60), (60, 120, 97, 157, 60)]
+    a, b = (sum((p[i] + own[i + k][:20] for i in range(5)), []) for k in (0, 5))
+    got = substring.align(a, b, [i * 80 + 9 for i in range(5)], [i * 80 + 9 for i in range(5)])
+    assert got[0][0] == 0 and got[-1][1] == 380 and all(e * 5 >= 4 * (x1 - x0) for x0, x1, _, _, e in got)
+    assert all(any(x0 <= i * 80 and i * 80 + 60 <= x1 for x0, x1, *_ in got) for i in range(5))
+
+
+def test_parts_of_a_chain_are_the_longest_that_agree():
+    rng = random.Random(6)
+    for _ in range(200):
+        a, b, xs, ys = [], [], [], []
+        for _ in range(rng.randint(1, 9)):
+            run = [rng.randrange(10**9) for _ in range(rng.randint(8, 60))]
+            xs.append(len(a))
+            ys.append(len(b))
+            a += run + [rng.randrange(10**9) for _ in range(rng.randint(1, 30))]
+            b += run + [rng.randrange(10**9) for _ in range(rng.randint(1, 30))]
+        got = substring.align(a, b, xs, ys)
+        runs = []
+        for x, y in zip(xs, ys, strict=True):
+            n = 0
+            while x + n < len(a) and y + n < len(b) and a[x + n] == b[y + n]:
+                n += 1
+            runs.append((x, y, n))
+        good = set()
+        for i, (x, y, _) in enumerate(runs):
+            for j in range(i, len(runs)):
+                x1, y1 = runs[j][0] + runs[j][2], runs[j][1] + runs[j][2]
+                equal = sum(n for *_, n in runs[i:j + 1])
+                if min(x1 - x, y1 - y) >= 50 and equal * 5 >= 4 * max(x1 - x, y1 - y):
+                    good.add((x, x1, y, y1, equal))
+        inside = {g for g in good if any(h != g and h[0] <= g[0] and g[1] <= h[1] for h in good)}
+        assert set(got) == good - inside
