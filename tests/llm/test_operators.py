@@ -461,3 +461,52 @@ def test_parts_of_a_chain_are_the_longest_that_agree():
                     good.add((x, x1, y, y1, equal))
         inside = {g for g in good if any(h != g and h[0] <= g[0] and g[1] <= h[1] for h in good)}
         assert set(got) == good - inside
+
+
+def uncovered_runs(texts, rows):
+    """(text, position) of the 50-word runs that recur in the texts and lie in no row."""
+    where, spans = {}, {}
+    for k, t in texts.items():
+        words = WORD.findall(low(t))
+        for i in range(len(words) - 49):
+            where.setdefault(tuple(words[i:i + 50]), []).append((k, i))
+    for r in rows:
+        spans.setdefault(r.doc_id, []).append((r.start, r.end))
+        spans.setdefault(r.ref_id, []).append((r.ref_start, r.ref_end))
+    return [(k, i) for v in where.values() if len(v) > 1 for k, i in v
+            if not any(a <= i and i + 50 <= b for a, b in spans.get(k, []))]
+
+
+def words_like(rng, n):
+    return [f"v{rng.randrange(10**9)}" for _ in range(n)]
+
+
+def passages_of(spark, texts):
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in texts.items()], "doc_id long, text string")
+    return substring.passages(docs.repartition(3)).collect()
+
+
+def test_exact_passages_between_own_words(spark):
+    rng = random.Random(5)
+    parts = [words_like(rng, 60) for _ in range(5)]
+    texts = {1: parts[0] + parts[1], 2: parts[0] + words_like(rng, 37) + parts[1]}
+    texts[3] = sum((p + words_like(rng, 20) for p in parts[2:]), [])
+    texts[4] = sum((p + words_like(rng, 20) for p in parts[2:]), [])
+    rows = passages_of(spark, texts)
+    assert not uncovered_runs({k: " ".join(t) for k, t in texts.items()}, rows)
+    assert all(r.identity >= 0.8 for r in rows)
+
+
+def test_exact_passages_beside_texts_that_quote_less(spark):
+    rng = random.Random(7)
+    texts = {}
+    for i in range(40):                 # every text quotes each passage from another place on
+        p = words_like(rng, 60)
+        texts[5 * i] = words_like(rng, 9) + p + words_like(rng, 30)
+        texts[5 * i + 1] = words_like(rng, 70) + p
+        for j, (a, b) in enumerate(((0, 49), (11, 60), (5, 54))):
+            texts[5 * i + 2 + j] = words_like(rng, 12) + p[a:b] + words_like(rng, 12)
+    long = words_like(rng, 400)
+    texts |= {300: long, 301: long[:200] + words_like(rng, 9), 302: words_like(rng, 5) + long[120:], 303: long[:300]}
+    rows = passages_of(spark, texts)
+    assert not uncovered_runs({k: " ".join(t) for k, t in texts.items()}, rows)
