@@ -510,3 +510,18 @@ def test_exact_passages_beside_texts_that_quote_less(spark):
     texts |= {300: long, 301: long[:200] + words_like(rng, 9), 302: words_like(rng, 5) + long[120:], 303: long[:300]}
     rows = passages_of(spark, texts)
     assert not uncovered_runs({k: " ".join(t) for k, t in texts.items()}, rows)
+
+
+def test_every_occurrence_of_an_exact_passage_is_found(spark):
+    rng = random.Random(8)
+    texts = {}
+    for i in range(20):
+        p, q, r = (words_like(rng, 60) for _ in range(3))
+        own = [words_like(rng, 25) for _ in range(8)]
+        texts[4 * i] = own[0] + p[:45] + own[1] + p + own[2] + q        # a quote, then the whole
+        texts[4 * i + 1] = own[3] + p
+        texts[4 * i + 2] = q + own[4] + q + own[5] + q                  # two copies more than elsewhere
+        texts[4 * i + 3] = r + own[6] + r + own[7] + ["the"] * 90       # within one text only
+    rows = passages_of(spark, texts)
+    assert not uncovered_runs({k: " ".join(t) for k, t in texts.items()}, rows)
+    assert all((r.start, r.end) != (r.ref_start, r.ref_end) for r in rows if r.doc_id == r.ref_id)
