@@ -525,3 +525,23 @@ def test_every_occurrence_of_an_exact_passage_is_found(spark):
     rows = passages_of(spark, texts)
     assert not uncovered_runs({k: " ".join(t) for k, t in texts.items()}, rows)
     assert all((r.start, r.end) != (r.ref_start, r.ref_end) for r in rows if r.doc_id == r.ref_id)
+
+
+def test_changed_passages_are_found(spark):
+    rng = random.Random(9)
+    for agree, least in ((0.8, 0.8), (0.9, 0.95)):
+        texts, planted = {}, {}
+        for i in range(60):
+            p = words_like(rng, rng.randint(50, 80))
+            q = list(p)
+            n = int(len(p) * (1 - agree) + 1e-9)
+            places = rng.sample(range(len(p)), n) if agree < 0.9 or i % 2 else [int((k + 0.5) * len(p) / n) for k in range(n)]
+            for k in places:
+                q[k] = "changed" + q[k]
+            texts[2 * i] = words_like(rng, 30) + p + words_like(rng, 30)
+            texts[2 * i + 1] = words_like(rng, 30) + q + words_like(rng, 30)
+            planted[2 * i] = len(p)
+        rows = passages_of(spark, texts)
+        found = {min(r.doc_id, r.ref_id) for r in rows}
+        assert len(found) >= least * len(planted)
+        assert {abs(r.doc_id - r.ref_id) for r in rows} == {1} and all(r.identity >= 0.8 for r in rows)
