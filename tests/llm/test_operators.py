@@ -545,3 +545,42 @@ def test_changed_passages_are_found(spark):
         found = {min(r.doc_id, r.ref_id) for r in rows}
         assert len(found) >= least * len(planted)
         assert {abs(r.doc_id - r.ref_id) for r in rows} == {1} and all(r.identity >= 0.8 for r in rows)
+
+
+@pytest.mark.parametrize("share", [0.0, 0.2, 1.0, None])
+def test_looser_personal_data_is_found_at_any_density(spark, share):
+    rng = random.Random(10)
+
+    def digits(n):
+        return "".join(rng.choices("0123456789", k=n))
+
+    def iban():
+        account = digits(18)
+        return f"DE{98 - int(account + '131400') % 97:02}{account}"
+
+    def looser():
+        return [f"({rng.randint(200, 899)}) {digits(3)}-{digits(4)}", f"{rng.randint(100, 599)}-{rng.randint(10, 99)}-1{digits(3)}",
+                iban(), ":".join(f"{rng.randrange(4096, 65536):x}" for _ in range(8)),
+                "-".join(f"{rng.randrange(160, 256):x}" for _ in range(6)), f"{words_like(rng, 1)[0]} at mail dot example dot org"]
+
+    kinds = ("phone_local", "national_id", "iban", "ipv6", "mac", "email_spelled")
+    rows, planted, broken = [], set(), set()
+    for i in range(600):
+        parts = [" ".join(f"{rng.choice('abcdefgh')}{rng.choice(('or', 'in', 'as'))}" for _ in range(6)) for _ in range(9)]
+        if share is not None:           # else no base span at all
+            parts.append(f"+49 30 {digits(4)} {digits(3)}, 10.{rng.randrange(256)}.7.{rng.randrange(256)}, {words_like(rng, 1)[0]}@a.org")
+        add = looser() if i < 60 or rng.random() < (share or 0) else []
+        bad = [f"DE00 {digits(4)} {digits(4)} {digits(4)} {digits(2)}", ":".join(digits(2) for _ in range(5))]
+        text = ""
+        for part, item, kind in itertools.zip_longest(parts, add + bad, (*kinds, "iban", "ipv6")[-len(add + bad):]):
+            text += (part or "") + " "
+            if item:
+                (planted if item in add else broken).add((i, f"{kind}:{len(text)}:{len(text) + len(item)}"))
+                text += item + " "
+        rows.append((i, text))
+    got = {(r.doc_id, s) for r in pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+           for s in r.spans.split(",")}
+    for kind in kinds:
+        own = {p for p in planted if p[1].startswith(kind)}
+        assert len(own & got) >= 0.9 * len(own), (kind, len(own & got), len(own))
+    assert len(broken & got) <= 0.05 * len(broken)
