@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierone.llm import decontam, exact_dedup, langid, licenses, mixing, pii, quality, secrets, simhash, substring
+from tierone.llm import (
+    ball_codes, decontam, exact_dedup, fim, langid, licenses, mixing, packing, pii, quality, secrets, simhash,
+    substring,
+)
 from tierone.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +60,23 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
             .select("doc_id", "n_grams", "log_weight", "harm", "kept"))
 
 
+def op11_fim(spark: SparkSession, sf: str) -> DataFrame:
+    made = fim.transform(documents(spark, sf))
+    text = fim.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"))
+
+
+def op12_packing(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers        # the vocabulary files; only this query needs them
+
+    return packing.pack(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.json")).drop("rid")
+
+
+def op13_ball_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return ball_codes.compress(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_licenses": op1_licenses,
     "op2_pii": op2_pii,
@@ -68,4 +88,7 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality": op10_quality,
+    "op11_fim": op11_fim,
+    "op12_packing": op12_packing,
+    "op13_ball_codes": op13_ball_codes,
 }
