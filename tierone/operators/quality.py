@@ -58,6 +58,30 @@ def reason_expr(rules: list[Rule]) -> Column:
     return F.concat_ws(C.REASON_SEPARATOR, *[F.when(r.fails, F.lit(r.name)) for r in rules])
 
 
+def failed_mask(rules: list[Rule]) -> Column:
+    """The failed rules as bits, the first rule lowest; 0 = none."""
+    return sum((F.when(r.fails, F.lit(1 << i)).otherwise(F.lit(0)) for i, r in enumerate(rules)),
+               F.lit(0)).cast("bigint")
+
+
+def rule_counts(masks: DataFrame, names: list[str]) -> DataFrame:
+    """``rule, with_rule, failures``: rows failing each rule (``with_rule`` NULL) and each pair of rules.
+
+    ``masks`` has ``rule_mask`` and ``n_rows``, counted beforehand: at most one
+    row for each combination of rules that occurs.
+    """
+    bits = F.array(*[F.struct(F.lit(n).alias("rule"), F.lit(1 << i).alias("bit")) for i, n in enumerate(names)])
+    failed = F.filter(bits, lambda b: F.col("rule_mask").bitwiseAND(b["bit"]) != 0)
+    alone = F.transform("_failed", lambda a: F.struct(
+        a["rule"].alias("rule"), F.lit(None).cast("string").alias("with_rule")))
+    pairs = F.flatten(F.transform("_failed", lambda a: F.transform(
+        F.filter("_failed", lambda b: b["bit"] > a["bit"]),
+        lambda b: F.struct(a["rule"].alias("rule"), b["rule"].alias("with_rule")))))
+    return (masks.select("n_rows", failed.alias("_failed"))
+            .select("n_rows", F.explode(F.concat(alone, pairs)).alias("f"))
+            .groupBy("f.rule", "f.with_rule").agg(F.sum("n_rows").alias("failures")))
+
+
 def tag(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.withColumn(REASON, reason_expr(rules))
 

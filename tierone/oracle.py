@@ -19,6 +19,7 @@ RUN_DATE = FIXED_RUN.run_date.isoformat()
 EARLIER_INGESTED_AT = "2024-06-30T00:00:00"
 # Run id of the one-quarter re-run in ``partition_overwrite``.
 RERUN_ID = "20250115_000000"
+RERUN_TS = "2025-01-15 00:00:00"
 
 
 def r(expr: str, n: int) -> str:
@@ -350,4 +351,84 @@ SELECT a.year, a.quarter, a.total_records, a.clean_records, a.dq_pass_pct,
 FROM p a LEFT JOIN per b ON a.py = b.year AND a.pq = b.quarter
 ORDER BY a.year, a.quarter"""
     q["stream_silver_financials"] = q["silver_financials"]
+    q["ingest_changed_units"] = with_(FIN) + """
+SELECT 'financials_' || CAST(year AS VARCHAR) || '_Q' || CAST(quarter AS VARCHAR) AS run_key,
+       CAST(2 AS BIGINT) AS landing, COUNT(*) AS row_count
+FROM fin WHERE year >= 2023 GROUP BY year, quarter HAVING COUNT(CASE WHEN cert % 50 = 0 THEN 1 END) > 0
+UNION ALL SELECT 'financials_2030_Q1', 2, 0"""
+    named = "COALESCE(cert % 43, 1) <> 0"
+    q["derive_period_moved"] = with_(*BASE) + f"""
+SELECT cert, repdte, asset, year, quarter,
+       CASE WHEN (year = 2024 AND quarter = 4)
+              OR (year = 2024 AND quarter = 3 AND EXISTS (
+                    SELECT 1 FROM fin_s WHERE cert % 7 = 0 AND {named} AND year = 2024 AND quarter = 3))
+            THEN '{RERUN_ID}' ELSE _transformed_at END AS _transformed_at
+FROM fin_s WHERE {named}"""
+    lost = """
+  SELECT cert, asset,
+         CAST(CASE WHEN cert % 7 = 0 AND quarter = 4 THEN year + 1 ELSE year END AS INTEGER) AS year,
+         CAST(CASE WHEN cert % 7 <> 0 THEN quarter WHEN quarter = 4 THEN 1 ELSE quarter + 1 END AS INTEGER)
+           AS quarter, 'repdte_without_period' AS rejection_reason
+  FROM fin WHERE cert % 43 = 0 AND NOT COALESCE(asset <= 0, FALSE) AND NOT COALESCE(dep <= 0, FALSE)
+             AND NOT COALESCE(rbct1 < 0 OR rbct1 > 100, FALSE)"""
+    q["quarantine_without_period"] = with_(FIN) + f""",
+lost AS ({lost})
+SELECT *, '{RUN_ID}' AS _run_id FROM lost
+UNION ALL SELECT *, '{RERUN_ID}' FROM lost WHERE year = 2024 AND quarter = 4"""
+    q["quarantine_of_clean_input"] = q["quarantine_institutions"] + " AND FALSE"
+    q["dim_versions"] = q["scd2_history"].replace(
+        f"TIMESTAMP '{RUN_TS}' AS row_created_at",
+        """CASE repdte WHEN '20231231' THEN TIMESTAMP '2024-01-31 00:00:00'
+                   WHEN '20240630' THEN TIMESTAMP '2024-07-31 00:00:00'
+                   ELSE TIMESTAMP '2025-01-31 00:00:00' END AS row_created_at""")
+    versions = q["scd2_history"].removeprefix("WITH ")
+    head, _, last = versions.rpartition("\nSELECT cert, name")
+    q["health_as_of"] = f"WITH {head},\n{HEALTH.strip()},\nversions AS (SELECT cert, name{last})" + """
+SELECT f.cert, f.repdte, f.year, f.quarter, f.asset, f.dep, f.lnlsnet, f.rbct1, f.npl_ratio_pct, f.roa_pct,
+       f.deposit_to_asset_pct, f.capital_adequacy_flag, v.name, v.city, v.stalp, v.instcat, v.charterclass,
+       v.active, v.effective_date
+FROM health f LEFT JOIN versions v
+  ON f.cert = v.cert AND f.repdte >= v.effective_date AND f.repdte < v.expiry_date"""
+    rate = "clean_records * 100e0 / NULLIF(total_records, 0)"
+    bad = "(year = 2024 AND COALESCE(cert % 5 = 0, FALSE))"
+    q["dq_run_trend"] = with_(INST, FIN, INST_TAGGED, FIN_TAGGED) + f""",
+f AS (SELECT year, rejection_reason = '' AS ok, rejection_reason = '' AND NOT {bad} AS ok_worse,
+             MAX(CASE WHEN {bad} AND asset <> 0 THEN 1 ELSE 0 END) OVER (PARTITION BY year, quarter) AS again
+      FROM fin_t),
+i AS (SELECT rejection_reason = '' AS ok, rejection_reason = '' AND COALESCE(cert % 4 <> 0, TRUE) AS ok_nameless
+      FROM inst_t),
+states AS (
+  SELECT 'financials' AS dataset, 1 AS n, COUNT(*) AS processed_records, COUNT(*) AS total_records,
+         COUNT(CASE WHEN ok THEN 1 END) AS clean_records FROM f WHERE year < 2023
+  UNION ALL SELECT 'financials', 2, COUNT(CASE WHEN year >= 2023 THEN 1 END), COUNT(*),
+         COUNT(CASE WHEN ok THEN 1 END) FROM f
+  UNION ALL SELECT 'financials', 3, COUNT(CASE WHEN again = 1 THEN 1 END), COUNT(*),
+         COUNT(CASE WHEN ok_worse THEN 1 END) FROM f
+  UNION ALL SELECT 'financials', 4, COUNT(*), COUNT(*), COUNT(CASE WHEN ok THEN 1 END) FROM f
+  UNION ALL SELECT 'institutions', 1, COUNT(*), COUNT(*), COUNT(CASE WHEN ok THEN 1 END) FROM i
+  UNION ALL SELECT 'institutions', 4, COUNT(*), COUNT(*), COUNT(CASE WHEN ok_nameless THEN 1 END) FROM i),
+rates AS (
+  SELECT *, {r(rate, 4)} AS dq_pass_pct FROM states),
+prev AS (SELECT *, LAG(dq_pass_pct) OVER (PARTITION BY dataset ORDER BY n) AS prev_dq_pass_pct FROM rates),
+days AS (SELECT unnest([1, 2, 3, 4]) AS n, unnest([DATE '2024-03-31', DATE '2024-06-30', DATE '2024-09-30',
+                                                  DATE '2024-12-31']) AS run_date)
+SELECT dataset, strftime(run_date, '%Y%m%d_000000') AS run_id, run_date, processed_records, total_records,
+       clean_records, dq_pass_pct, prev_dq_pass_pct, {r("dq_pass_pct - prev_dq_pass_pct", 4)} AS pass_pct_change
+FROM prev JOIN days USING (n)"""
+    q["dq_rule_counts"] = with_(INST, FIN, INST_TAGGED, FIN_TAGGED) + """,
+t AS (
+  SELECT 'institutions' AS dataset, string_split(rejection_reason, '; ') AS l FROM inst_t WHERE rejection_reason <> ''
+  UNION ALL SELECT 'financials', string_split(rejection_reason, '; ') FROM fin_t WHERE rejection_reason <> ''),
+p AS (
+  SELECT dataset, l[a] AS rule, CASE WHEN b > a THEN l[b] END AS with_rule
+  FROM (SELECT dataset, l, a, unnest(range(a, len(l) + 1)) AS b
+        FROM (SELECT dataset, l, unnest(range(1, len(l) + 1)) AS a FROM t)))
+SELECT dataset, rule, with_rule, COUNT(*) AS failures FROM p GROUP BY dataset, rule, with_rule"""
+    q["health_republished"] = with_(*BASE, HEALTH) + f"""
+SELECT * REPLACE (CASE WHEN year = 2024 THEN TIMESTAMP '{RERUN_TS}' ELSE _loaded_at END AS _loaded_at)
+FROM health"""
+    q["banks_by_year"] = with_(*BASE, HEALTH) + """
+SELECT year, COUNT(DISTINCT cert) AS bank_count FROM health GROUP BY year"""
+    for name in ("quarter_trend", "capital_distribution", "regional_summary"):
+        q[f"partials_{name}"] = q[name]
     return q

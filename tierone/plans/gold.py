@@ -9,8 +9,9 @@
     and clustered by ``stalp``.
 
 ``dim_institution``
-    One current version per institution from a single snapshot; multi-snapshot
-    history is :func:`tierone.operators.history.scd2_versions`.
+    One current version per institution from a single snapshot. The table keeps
+    versions: later snapshots are merged (:mod:`tierone.operators.merge`); a
+    history from snapshots at hand is :func:`tierone.operators.history.scd2_versions`.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from tierone.config import OPEN_EXPIRY, RunContext
 from tierone.functions.metrics import capital_class, pct_of_assets
 from tierone.functions.period import derive_quarter, derive_year
+from tierone.operators.asof import as_of_join
 from tierone.operators.joins import DEFAULT_BROADCAST_ROWS, lookup_join
 from tierone.sources.parquet import cluster, write_dataset
 
@@ -63,6 +65,12 @@ def bank_health_metrics(fin: DataFrame, inst: DataFrame, run: RunContext,
                        max_broadcast_rows).select(*HEALTH_COLUMNS)
 
 
+def health_as_of(fin: DataFrame, versions: DataFrame, run: RunContext) -> DataFrame:
+    """Health facts with the institution as it was at their report date."""
+    return as_of_join(health_facts(fin, run), versions, "cert", "repdte",
+                      ["name", "city", "stalp", "instcat", "charterclass", "active", "effective_date"])
+
+
 def dim_institution(inst: DataFrame, run: RunContext) -> DataFrame:
     return inst.select(
         "cert", "name", "city", "stalp", "instcat", "charterclass", "active",

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 
 from tierone import schemas as S
 from tierone.config import MASTER_RUN_KEY, RunContext
+from tierone.operators.routing import closure
 from tierone.plans import bronze, silver, warehouse
 from tierone.session import scratch_path
 from tierone.sources import ledger
@@ -51,7 +52,8 @@ def _pending(spark: SparkSession, paths: bronze.BronzePaths, upstream: str, stag
 def _commit(spark: SparkSession, paths: bronze.BronzePaths, stage: str, done: list[Row]) -> None:
     if done:
         ledger.record_versions(spark.createDataFrame(
-            [(u.run_key, u.completed_at) for u in done], "run_key string, completed_at string"),
+            [(u.run_key, u.completed_at, u.landing) for u in done],
+            "run_key string, completed_at string, landing bigint"),
             paths.stage_ledger(stage))
 
 
@@ -78,9 +80,12 @@ def gold_stage(spark: SparkSession, base: str, run: RunContext, database: str,
     paths, spaths = bronze.BronzePaths(base), silver.SilverPaths(base)
     todo = _pending(spark, paths, paths.stage_ledger("silver"), "gold")
     full = full_refresh or any(u.run_key == MASTER_RUN_KEY for u in todo)
-    years = None if full else sorted({u.year for u in todo})
+    # Misfiled rows of a unit lie in other quarters of silver.
+    periods, _ = closure({(u.year, u.quarter) for u in todo if u.year is not None},
+                         silver.read_routes(spark, spaths.routes))
     warehouse.gold_load(spark, database, database_path(base, database), spaths.institutions,
-                        spaths.financials, staged_rows(spark, base), run, years=years, rebuild_dim=full)
+                        spaths.financials, staged_rows(spark, base), run,
+                        periods=None if full else sorted(periods), rebuild_dim=full)
     _commit(spark, paths, "gold", todo)
 
 

@@ -8,7 +8,7 @@ a sort of that small result. Averages round through the pinned decimal rule.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierone.functions.rounding import round_half_up
@@ -92,6 +92,35 @@ def dq_pass_trend(tagged_fin: DataFrame) -> DataFrame:
         .orderBy("year", "quarter"))
 
 
+def dq_run_trend(unit_counts: DataFrame) -> DataFrame:
+    """State of each dataset after every run that validated some of it, and the change of its pass rate.
+
+    A unit counts as its last validation found it: when one is validated again
+    its earlier counts are taken back, so a correction does not count twice.
+    Both windows run over counts, per unit and per dataset: as many rows as runs.
+    """
+    run = ["created_at", "run_date", "run_id"]
+    clean = F.when(F.col("rule_mask") == 0, F.col("n_rows")).otherwise(F.lit(0))
+    units = unit_counts.groupBy("dataset", "run_key", *run).agg(
+        F.sum("n_rows").alias("total"), F.sum(clean).alias("clean"))
+    of_unit = Window.partitionBy("dataset", "run_key").orderBy("created_at", "run_id")
+    added = [(F.col(c) - F.lag(c, 1, 0).over(of_unit)).alias(f"{c}_added") for c in ("total", "clean")]
+    runs = (units.select("*", *added).groupBy("dataset", *run)
+            .agg(F.sum("total").alias("processed_records"), F.sum("total_added").alias("total_added"),
+                 F.sum("clean_added").alias("clean_added")))
+    by_run = Window.partitionBy("dataset").orderBy("created_at", "run_id")
+    so_far = by_run.rowsBetween(Window.unboundedPreceding, 0)
+    states = (runs.select("dataset", *run, "processed_records",
+                          F.sum("total_added").over(so_far).alias("total_records"),
+                          F.sum("clean_added").over(so_far).alias("clean_records"))
+              .withColumn("dq_pass_pct", pass_pct(F.col("clean_records"), F.col("total_records")))
+              .withColumn("prev_dq_pass_pct", F.lag("dq_pass_pct").over(by_run)))
+    return (states.select("dataset", "run_id", "run_date", "processed_records", "total_records", "clean_records",
+                          "dq_pass_pct", "prev_dq_pass_pct",
+                          round_half_up(F.col("dq_pass_pct") - F.col("prev_dq_pass_pct"), 4).alias("pass_pct_change"))
+            .orderBy("dataset", "run_id"))
+
+
 def clustered_lookup(dim: DataFrame, latest: DataFrame, flag: str) -> DataFrame:
     """Current dimension rows of institutions carrying ``flag`` in ``latest``,
     the health rows of one quarter — a key lookup against the ``cert``-clustered

@@ -8,14 +8,15 @@
   one partitioned read of the whole silver tree, with no per-quarter loop and
   no hard-coded calendar;
 * serving tables: ``bank_health_metrics`` (partitioned by year, clustered by
-  state) and ``dim_institution`` (clustered by cert, state). A full build
-  replaces them; an incremental build rebuilds only the given years of
-  ``bank_health_metrics`` — silver is read with a partition filter on those
-  years and the output replaces exactly those year partitions (dynamic
-  overwrite) — so a quarterly run does not rewrite the whole history. The
-  period columns are silver's own partition values (tested equal to the
-  values derived from ``repdte``), which is what keeps every rebuilt row
-  inside the partitions being replaced;
+  state) and ``dim_institution`` (partitioned by ``is_current``, clustered by
+  cert, state). Both are replaced partition by partition without a gap for
+  readers (:mod:`tierone.sources.publish`). A full build replaces every year;
+  an incremental one reads silver with a partition filter on the years of its
+  quarters and replaces those. The dimension keeps versions: a snapshot is
+  merged, only changed keys are touched, and one without changes writes
+  nothing;
+* partial aggregates of the reports, replaced by quarter
+  (:mod:`tierone.plans.partials`);
 * ``dq_scorecard``: created once, partitioned by ``run_date``; rows are
   appended only if their (run_id, dataset, pipeline_stage) is not yet there,
   so a re-run cannot duplicate the audit trail.
@@ -28,15 +29,19 @@ from pyspark.sql import functions as F
 
 from tierone import schemas as S
 from tierone.config import DATASET_PIPELINE, STAGE_GOLD, RunContext
+from tierone.functions.period import in_periods
+from tierone.operators.merge import changed_states, merged_versions, untouched_versions
 from tierone.operators.scorecard import pipeline_row
-from tierone.plans import gold
+from tierone.plans import gold, partials
 from tierone.sources.catalog import (
     drop_tables,
     ensure_database,
     ensure_external,
     register_external,
+    register_partitioned,
     save_table,
 )
+from tierone.sources.publish import point, publish, published
 from tierone.sources.parquet import cluster
 
 SCORECARD_KEY = ["run_id", "dataset", "pipeline_stage"]
@@ -63,44 +68,59 @@ def table_path(spark: SparkSession, db: str, table: str) -> str:
     return f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/{table}"
 
 
+SERVING = {HEALTH_TABLE: (S.BANK_HEALTH_METRICS, "year"), DIM_TABLE: (S.DIM_INSTITUTION, "is_current")}
+
+
 def register_serving(spark: SparkSession, db: str) -> None:
-    """The serving tables at their places, with whatever earlier processes left there."""
-    for table, schema, parts in ((HEALTH_TABLE, S.BANK_HEALTH_METRICS, ["year"]),
-                                 (DIM_TABLE, S.DIM_INSTITUTION, [])):
-        ensure_external(spark, db, table, schema, table_path(spark, db, table), parts,
-                        S.TABLE_COMMENTS[table])
+    """The serving tables at their places, with whatever earlier processes published."""
+    for table, (schema, column) in SERVING.items():
+        if not spark.catalog.tableExists(f"{db}.{table}"):
+            register_partitioned(spark, db, table, schema, table_path(spark, db, table), column,
+                                 S.TABLE_COMMENTS[table])
+            point(spark, db, table, column, published(spark, db, table)[1])
     ensure_scorecard(spark, db)
 
 
+def partials_path(spark: SparkSession, db: str) -> str:
+    return f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/_partials"
+
+
 def build_health(spark: SparkSession, db: str, run: RunContext,
                  years: list[int] | None = None) -> None:
     """Build ``bank_health_metrics``: all years, or only ``years``."""
-    table = f"{db}.{HEALTH_TABLE}"
     inst = spark.table(f"{db}.institutions_raw")
     fin = spark.table(f"{db}.financials_raw")
-    incremental = years is not None
-    if incremental:
+    if years is not None:
         if not years:
             return
         fin = fin.filter(F.col("year").isin(*years))       # partition pruning
     laid_out = cluster(gold.bank_health_metrics(fin, inst, run), ["year"], ["stalp"], ["cert"])
-    if incremental:
-        (laid_out.select(*spark.table(table).columns)     # insertInto is positional
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .insertInto(table))
-    else:
-        path = table_path(spark, db, HEALTH_TABLE)
-        (laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy("year").parquet(path))
-        drop_tables(spark, db, [HEALTH_TABLE])
-        register_serving(spark, db)
+    publish(spark, db, HEALTH_TABLE, laid_out, "year", None if years is None else [str(y) for y in years])
 
 
 def build_dim(spark: SparkSession, db: str, run: RunContext) -> None:
-    inst = spark.table(f"{db}.institutions_raw")
-    (cluster(gold.dim_institution(inst, run), [], ["cert", "stalp"])
-     .write.mode("overwrite").parquet(table_path(spark, db, DIM_TABLE)))
-    spark.catalog.refreshTable(f"{db}.{DIM_TABLE}")
+    """Merge the institutions into the versions kept; nothing is written if nothing changed."""
+    dim = spark.table(f"{db}.{DIM_TABLE}")
+    changes = changed_states(dim, spark.table(f"{db}.institutions_raw")).checkpoint()
+    if changes.isEmpty():
+        return
+    merged = merged_versions(dim, changes, run).checkpoint()
+    closed = ~F.col("is_current")
+    closes = not (merged.filter(closed).select("cert").isEmpty()
+                  and dim.filter(closed).join(changes, "cert", "left_semi").select("cert").isEmpty())
+    touched = [True, False] if closes else [True]
+    rows = untouched_versions(dim.filter(F.col("is_current").isin(*touched)), changes).unionByName(merged)
+    publish(spark, db, DIM_TABLE, cluster(rows, ["is_current"], ["cert", "stalp"]), "is_current",
+            [str(t).lower() for t in touched])
+
+
+def build_partials(spark: SparkSession, db: str, periods: list[tuple[int, int]] | None = None) -> None:
+    health = spark.table(f"{db}.{HEALTH_TABLE}")
+    if periods is not None:
+        if not periods:
+            return
+        health = health.filter(F.col("year").isin(*{y for y, _ in periods}) & in_periods(periods))
+    partials.maintain(spark, health, partials_path(spark, db), periods)
 
 
 def build_serving(spark: SparkSession, db: str, run: RunContext,
@@ -141,9 +161,12 @@ def append_pipeline_row(spark: SparkSession, db: str, run: RunContext) -> None:
 
 def gold_load(spark: SparkSession, db: str, db_location: str | None, inst_path: str,
               fin_path: str, silver_scorecard: DataFrame, run: RunContext,
-              years: list[int] | None = None, rebuild_dim: bool = True) -> None:
+              periods: list[tuple[int, int]] | None = None, rebuild_dim: bool = True) -> None:
+    """Load everything, or the years of the silver quarters ``periods``."""
     ensure_database(spark, db, db_location)
     register_raw(spark, db, inst_path, fin_path)
+    years = None if periods is None else sorted({y for y, _ in periods})
     build_serving(spark, db, run, years, rebuild_dim)
+    build_partials(spark, db, periods)
     append_scorecard(spark, db, silver_scorecard)
     append_pipeline_row(spark, db, run)

@@ -22,12 +22,16 @@ from tierone import config as C
 from tierone import schemas as S
 from tierone.config import FIXED_RUN, RunContext
 from tierone.functions.metrics import capital_class, pct_of_assets
-from tierone.operators.history import scd2_versions
+from tierone.operators.history import next_quarter, scd2_versions
+from tierone.operators.quality import rule_counts
+from tierone.operators.routing import NO_PERIOD, with_target
 from tierone.operators.scorecard import counts_from_tagged
-from tierone.plans import bronze, gold, reports, silver, warehouse
+from tierone.plans import bronze, gold, partials, reports, silver, warehouse
 from tierone.session import scratch_path
 from tierone.sources import catalog, fixtures, ledger
+from tierone.sources.frames import FrameSource
 from tierone.sources.parquet import observed_rows, read_dataset, write_dataset
+from tierone.sources.publish import publish
 
 RUN = FIXED_RUN
 EARLIER_RUN = RunContext(dt.datetime(2024, 6, 30, 0, 0, 0))
@@ -209,7 +213,7 @@ def partition_overwrite(spark, sf):
     tf = _fin_tagged(spark, sf)
     silver.write_silver_financials(tf, path, RUN)
     one_quarter = tf.filter((F.col("year") == 2024) & (F.col("quarter") == 4))
-    silver.write_silver_financials(one_quarter, path, RERUN)
+    silver.write_silver_financials(one_quarter, path, RERUN, [(2024, 4)])
     return read_dataset(spark, path, S.SILVER_FINANCIALS)
 
 
@@ -396,6 +400,156 @@ def stream_silver_financials(spark, sf):
     return read_dataset(spark, out, S.SILVER_FINANCIALS)
 
 
+# ------------------------------------------- changes over several runs
+
+def _run(day: str) -> RunContext:
+    return RunContext(dt.datetime.fromisoformat(day))
+
+
+def _next_quarter(df: DataFrame, moves) -> DataFrame:
+    """Rows where ``moves`` filed one quarter after their own."""
+    year, quarter = next_quarter(F.col("year"), F.col("quarter"))
+    return df.withColumns({"year": F.when(moves, year).otherwise(F.col("year")),
+                           "quarter": F.when(moves, quarter).otherwise(F.col("quarter"))})
+
+
+def ingest_changed_units(spark, sf):
+    """Units landed by a second run whose source has grown in some quarters and lost one."""
+    inst, fin = _bronze(spark, sf)
+    gone = (fin.filter((F.col("year") == 2024) & (F.col("quarter") == 4))
+            .withColumns({"year": F.lit(2030), "quarter": F.lit(1)}))
+    late = (F.col("cert") % 50 == 0) & (F.col("year") >= 2023)
+    first = fin.filter(~F.coalesce(late, F.lit(False))).unionByName(gone)
+    paths = bronze.BronzePaths(scratch_path(spark, "ingest-changed"))
+    bronze.ingest(spark, FrameSource(inst, first, "bank", complete=True), paths, EARLIER_RUN)
+    landed = bronze.ingest(spark, FrameSource(inst, fin, "bank", complete=True), paths, RUN)
+    units = spark.createDataFrame([(u.run_key, u.year, u.quarter, u.landing) for u in landed],
+                                  "run_key string, year int, quarter int, landing bigint")
+    rows = (read_dataset(spark, paths.financials, S.BRONZE_FINANCIALS).groupBy("year", "quarter")
+            .agg(F.count(F.lit(1)).alias("row_count")))
+    return (units.join(rows, ["year", "quarter"], "left")
+            .select("run_key", "landing", F.coalesce("row_count", F.lit(0)).alias("row_count")))
+
+
+def _misfiled(spark, sf) -> str:
+    """Silver of financials of which some are filed a quarter late and some name no period,
+    after a second landing of the last quarter."""
+    from tierone.plans.pipeline import silver_stage
+    inst, fin = _bronze(spark, sf)
+    late = F.coalesce(F.col("cert") % 7 == 0, F.lit(False))
+    fin = _next_quarter(fin, late).withColumn(
+        "repdte", F.when(F.col("cert") % 43 == 0, F.lit(None)).otherwise(F.col("repdte")))
+    base = scratch_path(spark, "misfiled")
+    source = FrameSource(inst, fin, "bank")
+    for run, force in ((RUN, []), (RERUN, ["financials_2024_Q4"])):
+        bronze.ingest(spark, source, bronze.BronzePaths(base), run, force)
+        silver_stage(spark, base, run)
+    return base
+
+
+def derive_period_moved(spark, sf):
+    paths = silver.SilverPaths(_misfiled(spark, sf))
+    return (read_dataset(spark, paths.financials, S.SILVER_FINANCIALS)
+            .select("cert", "repdte", "asset", "year", "quarter", "_transformed_at"))
+
+
+def quarantine_without_period(spark, sf):
+    paths = silver.SilverPaths(_misfiled(spark, sf))
+    return (read_dataset(spark, paths.quarantine_financials, S.QUARANTINE_FINANCIALS)
+            .filter(F.col("rejection_reason") == NO_PERIOD)
+            .select("cert", "asset", "year", "quarter", "rejection_reason", "_run_id"))
+
+
+def quarantine_of_clean_input(spark, sf):
+    """Rejects of a run over clean rows only: none, in a readable dataset."""
+    bi, bf = _bronze(spark, sf)
+    clean = silver.silver_institutions(silver.tag_institutions(bi), RUN).drop("_transformed_at")
+    paths = silver.SilverPaths(scratch_path(spark, "all-clean"))
+    silver.run_silver(spark, clean, bf.limit(0), paths, RUN)
+    return read_dataset(spark, paths.quarantine_institutions, S.QUARANTINE_INSTITUTIONS)
+
+
+def dim_versions(spark, sf):
+    """The dimension after runs over three snapshots, the last of which is landed twice."""
+    from tierone.plans.pipeline import run_pipeline
+    inst, fin = _bronze(spark, sf)
+    fin = fin.filter((F.col("year") == 2024) & (F.col("quarter") == 4))
+    base, db = scratch_path(spark, "dim-versions"), f"tierone_gold_{uuid.uuid4().hex[:10]}"
+    for day, (x, repdte) in zip(("2024-01-31", "2024-07-31", "2025-01-31", "2025-02-28"),
+                                (*fixtures.SNAPSHOTS, fixtures.SNAPSHOTS[-1]), strict=True):
+        source = FrameSource(fixtures.institutions_at(inst, x, repdte), fin, "bank")
+        run_pipeline(spark, source, _run(day), base, db, force=[C.MASTER_RUN_KEY])
+    return spark.table(f"{db}.dim_institution")
+
+
+def health_as_of(spark, sf):
+    versions = scd2_versions(fixtures.institution_snapshots(_inst_silver(spark, sf)), RUN)
+    return gold.health_as_of(_fin_silver(spark, sf), versions, RUN).drop("_loaded_at")
+
+
+def dq_run_trend(spark, sf):
+    """Four runs: some quarters, the rest, a bad correction of 2024, and back with a worse master."""
+    from tierone.plans.pipeline import silver_stage
+    inst, fin = _bronze(spark, sf)
+    worse = fin.withColumn("asset", F.when((F.col("year") == 2024) & (F.col("cert") % 5 == 0), F.lit(0))
+                           .otherwise(F.col("asset")).cast("bigint"))
+    nameless = inst.withColumn("name", F.when(F.col("cert") % 4 == 0, F.lit(" ")).otherwise(F.col("name")))
+    base = scratch_path(spark, "run-trend")
+    for day, i, f in (("2024-03-31", inst, fin.filter(F.col("year") < 2023)), ("2024-06-30", inst, fin),
+                      ("2024-09-30", inst, worse), ("2024-12-31", nameless, fin)):
+        bronze.ingest(spark, FrameSource(i, f, "bank"), bronze.BronzePaths(base), _run(day))
+        silver_stage(spark, base, _run(day))
+    return reports.dq_run_trend(silver.read_unit_counts(spark, silver.SilverPaths(base).unit_counts))
+
+
+def dq_rule_counts(spark, sf):
+    bi, bf = _bronze(spark, sf)
+    inst = rule_counts(silver.institution_masks(bi), silver.institution_rule_names())
+    fin = rule_counts(silver.financials_masks(with_target(silver.tag_financials(bf))),
+                      silver.financials_rule_names())
+    return (inst.withColumn("dataset", F.lit(C.DATASET_INSTITUTIONS))
+            .unionByName(fin.withColumn("dataset", F.lit(C.DATASET_FINANCIALS))))
+
+
+# ------------------------------------------- maintained tables
+
+def health_republished(spark, sf):
+    """The health table after one year was replaced by a later run."""
+    db = _fresh_db(spark, "republish")
+    health = _health(spark, sf)
+    warehouse.register_serving(spark, db)
+    publish(spark, db, warehouse.HEALTH_TABLE, health, "year")
+    again = gold.bank_health_metrics(_fin_silver(spark, sf, [(2024, q) for q in (1, 2, 3, 4)]),
+                                     _inst_silver(spark, sf), RERUN)
+    publish(spark, db, warehouse.HEALTH_TABLE, again, "year", ["2024"])
+    return spark.table(f"{db}.{warehouse.HEALTH_TABLE}")
+
+
+def _partials(spark, sf) -> str:
+    """Stored partials after a full build and a second one of the last quarter."""
+    path = scratch_path(spark, "partials")
+    partials.maintain(spark, _health(spark, sf), path)
+    partials.maintain(spark, _health(spark, sf, [(2024, 4)]), path, [(2024, 4)])
+    return path
+
+
+def banks_by_year(spark, sf):
+    return partials.banks_by_year(partials.read_bank_sets(spark, _partials(spark, sf)))
+
+
+def partials_quarter_trend(spark, sf):
+    path = _partials(spark, sf)
+    return partials.quarter_trend(partials.read_partials(spark, path), partials.read_bank_sets(spark, path))
+
+
+def partials_capital_distribution(spark, sf):
+    return partials.capital_distribution(partials.read_partials(spark, _partials(spark, sf)))
+
+
+def partials_regional_summary(spark, sf):
+    return partials.regional_summary(partials.read_partials(spark, _partials(spark, sf)))
+
+
 QUERIES: dict[str, Query] = {
     "bronze_institutions": bronze_institutions,
     "bronze_financials": bronze_financials,
@@ -438,4 +592,17 @@ QUERIES: dict[str, Query] = {
     "scd2_history": scd2_history,
     "dq_pass_trend": dq_pass_trend,
     "stream_silver_financials": stream_silver_financials,
+    "ingest_changed_units": ingest_changed_units,
+    "derive_period_moved": derive_period_moved,
+    "quarantine_without_period": quarantine_without_period,
+    "quarantine_of_clean_input": quarantine_of_clean_input,
+    "dim_versions": dim_versions,
+    "health_as_of": health_as_of,
+    "dq_run_trend": dq_run_trend,
+    "dq_rule_counts": dq_rule_counts,
+    "health_republished": health_republished,
+    "banks_by_year": banks_by_year,
+    "partials_quarter_trend": partials_quarter_trend,
+    "partials_capital_distribution": partials_capital_distribution,
+    "partials_regional_summary": partials_regional_summary,
 }

@@ -114,6 +114,45 @@ DQ_SCORECARD = T.StructType([
 LEDGER = T.StructType([
     _f("run_key", T.StringType(), "Unit of ingest work"),
     _f("completed_at", T.StringType(), "ISO-8601 UTC time the unit committed"),
+    _f("landing", T.LongType(), "How many times the unit has been landed"),
+    _f("n_rows", T.LongType(), "Source rows of the unit"),
+    _f("hash_sum", T.DecimalType(38, 0), "Sum of the source rows' hashes"),
+    _f("hash_xor", T.LongType(), "Exclusive or of the source rows' hashes"),
+])
+
+# Filed period -> period named by the report date, where the two differ.
+SILVER_ROUTES = T.StructType([
+    _f("year", T.IntegerType(), "Year the rows are filed under"),
+    _f("quarter", T.IntegerType(), "Quarter the rows are filed under"),
+    _f("to_year", T.IntegerType(), "Year their report date names"),
+    _f("to_quarter", T.IntegerType(), "Quarter their report date names"),
+])
+
+DQ_UNIT_COUNTS = T.StructType([
+    _f("dataset", T.StringType(), "institutions or financials"),
+    _f("run_date", T.DateType(), "Date of the run"),
+    _f("created_at", T.TimestampNTZType(), "Run time (UTC)"),
+    _f("rule_mask", T.LongType(), "Failed rules, one bit each; 0 = clean"),
+    _f("n_rows", T.LongType(), "Rows of the unit with this mask"),
+    _f("run_id", T.StringType(), "Run that validated the unit (partition key)"),
+    _f("run_key", T.StringType(), "Unit of ingest work (partition key)"),
+])
+
+HEALTH_PARTIALS = T.StructType([
+    _f("stalp", T.StringType(), "State code"),
+    _f("capital_adequacy_flag", T.StringType(), "Capital class"),
+    _f("n", T.LongType(), "Rows"),
+    _f("n_rbct1", T.LongType(), "Rows with a Tier-1 ratio"),
+    _f("sum_rbct1", T.DoubleType(), "Sum of the Tier-1 ratios"),
+    _f("n_npl", T.LongType(), "Rows with a non-performing-loan ratio"),
+    _f("sum_npl", T.DoubleType(), "Sum of the non-performing-loan ratios"),
+    *PERIOD_FIELDS,
+])
+
+BANK_SETS = T.StructType([
+    _f("bucket", T.LongType(), "Stretch of 32,768 certificate numbers"),
+    _f("bits", T.BinaryType(), "Bitmap of the numbers present"),
+    *PERIOD_FIELDS,
 ])
 
 TABLE_COMMENTS = {

@@ -44,6 +44,15 @@ def register_external(spark: SparkSession, db: str, table: str, schema: T.Struct
         spark.catalog.recoverPartitions(f"{db}.{table}")
 
 
+def register_partitioned(spark: SparkSession, db: str, table: str, schema: T.StructType, path: str,
+                         column: str, comment: str | None = None) -> None:
+    """A table partitioned by ``column`` whose partitions are given places of their own later."""
+    cmt = f"\nCOMMENT '{comment}'" if comment else ""
+    spark.createDataFrame([], schema).write.mode("append").partitionBy(column).parquet(path)     # the folder
+    spark.sql(f"CREATE TABLE {_q(db)}.{_q(table)} (\n  {ddl(schema)}\n)\nUSING parquet"
+              f"\nPARTITIONED BY ({_q(column)})\nLOCATION '{path}'{cmt}")
+
+
 def ensure_external(spark: SparkSession, db: str, table: str, schema: T.StructType, path: str,
                     partition_by: Sequence[str] = (), comment: str | None = None) -> None:
     """Register ``path`` unless this catalog has the table; the folder is made if absent."""

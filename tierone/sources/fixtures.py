@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tierone.config import FIXTURE_SOURCE, RunContext
 from tierone.functions.period import quarter_end_repdte
+from tierone.operators.fingerprint import fingerprint
 
 # Fixed values of the fixture mapping (defect injection moduli and scales).
 CERT_BASE = 10001
@@ -109,6 +110,13 @@ def financial_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(*order_period(F.col("o_orderdate"))).distinct()
 
 
+def period_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report periods present in the data with the fingerprint of their order rows."""
+    columns = ["o_custkey", "o_totalprice", "o_orderdate"]
+    orders = read_table(spark, sf_dir, "orders").select(*columns, *order_period(F.col("o_orderdate")))
+    return fingerprint(orders, columns, ["year", "quarter"])
+
+
 def _scaled(a: Column, base: int, m: Column, modulus: int, denom: float) -> Column:
     return F.floor(a * (F.lit(base) + m % modulus) / F.lit(denom)).cast("bigint")
 
@@ -181,6 +189,14 @@ SNAPSHOTS = ((1, "20231231"), (2, "20240630"), (3, "20241231"))
 CHANGED_CHARTER = "XX"
 
 
+def institutions_at(inst: DataFrame, x: int, repdte: str) -> DataFrame:
+    """The master as snapshot ``x`` of ``SNAPSHOTS`` shows it."""
+    changed = F.coalesce((F.col("cert") + x) % 5 == 0, F.lit(False))
+    return inst.withColumns({
+        "charterclass": F.when(changed, F.lit(CHANGED_CHARTER)).otherwise(F.col("charterclass")),
+        "repdte": F.lit(repdte)})
+
+
 def institution_snapshots(inst: DataFrame) -> DataFrame:
     """Clean institutions observed at several report dates (a generator, not a join)."""
     snaps = F.explode(F.array(*[

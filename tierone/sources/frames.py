@@ -10,14 +10,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierone import schemas as S
-from tierone.config import RunContext
+from tierone.config import FIXED_RUN, RunContext
 from tierone.functions.period import in_periods
+from tierone.operators.fingerprint import fingerprint
 from tierone.sources import fixtures
 
 
 class Source(Protocol):
+    #: True if a quarter that the source does not have is to be removed where it was landed.
+    complete: bool
+
     def periods(self) -> DataFrame:
-        """``year`` and ``quarter`` of every quarter there is."""
+        """``year``, ``quarter`` and fingerprint of every quarter there is, in one aggregate."""
+
+    def master(self) -> DataFrame:
+        """The fingerprint of the institution master."""
 
     def institutions(self, run: RunContext) -> DataFrame:
         """The master in the bronze schema."""
@@ -30,9 +37,14 @@ class Source(Protocol):
 class FixtureSource:
     spark: SparkSession
     sf_dir: str
+    complete: bool = True
 
     def periods(self) -> DataFrame:
-        return fixtures.financial_periods(self.spark, self.sf_dir)
+        return fixtures.period_fingerprints(self.spark, self.sf_dir)
+
+    def master(self) -> DataFrame:
+        return fingerprint(fixtures.institutions(self.spark, self.sf_dir, FIXED_RUN),
+                           [f.name for f in S.INSTITUTIONS_BUSINESS])
 
     def institutions(self, run: RunContext) -> DataFrame:
         return fixtures.institutions(self.spark, self.sf_dir, run)
@@ -54,13 +66,22 @@ class FrameSource:
     institutions_df: DataFrame
     financials_df: DataFrame
     name: str
+    #: The frames hold every quarter there is, not only new ones.
+    complete: bool = False
 
     def periods(self) -> DataFrame:
         year, quarter = F.col("year").cast("int"), F.col("quarter").cast("int")
         missing = F.raise_error(F.lit("financials without a year or quarter")).cast("int")
-        return (self.financials_df.select(
+        business = S.FINANCIALS_BUSINESS
+        rows = self.financials_df.select(
             F.when(year.isNull() | quarter.isNull(), missing).otherwise(year).alias("year"),
-            quarter.alias("quarter")).distinct())
+            quarter.alias("quarter"), *[F.col(f.name).cast(f.dataType).alias(f.name) for f in business])
+        return fingerprint(rows, [f.name for f in business], ["year", "quarter"])
+
+    def master(self) -> DataFrame:
+        business = S.INSTITUTIONS_BUSINESS
+        return fingerprint(self.institutions_df.select(
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in business]), [f.name for f in business])
 
     def institutions(self, run: RunContext) -> DataFrame:
         return self._shaped(self.institutions_df, S.BRONZE_INSTITUTIONS, run)

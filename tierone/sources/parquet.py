@@ -33,13 +33,18 @@ def cluster(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str
 
 
 def write_dataset(df: DataFrame, path: str, *, mode: str = "overwrite",
-                  partition_by: Sequence[str] = (), observe: Observation | None = None) -> None:
-    """Write ``df``; if ``observe`` is given, its row count rides along as a metric."""
+                  partition_by: Sequence[str] = (), observe: Observation | None = None,
+                  replace_all: bool = False) -> None:
+    """Write ``df``; if ``observe`` is given, its row count rides along as a metric.
+
+    A partitioned overwrite replaces the partitions it has rows for, or with ``replace_all`` every one.
+    """
     if observe is not None:
         df = df.observe(observe, F.count(F.lit(1)).alias("rows"))
     writer = df.write.mode(mode).format("parquet")
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        writer = writer.partitionBy(*partition_by).option(
+            "partitionOverwriteMode", "static" if replace_all else "dynamic")
     writer.save(path)
 
 

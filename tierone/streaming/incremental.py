@@ -6,7 +6,7 @@ the last run, in micro-batches bounded by ``maxFilesPerTrigger``, and stops.
 
 A micro-batch only says which quarters have new files. Each such quarter is
 validated whole from bronze and replaces its silver rows and its rejects, the
-same overwrite the batch path does. So a quarter that is landed again replaces
+same overwrite the batch path does, misfiled rows included. So a quarter that is landed again replaces
 its old rows, a quarter split over two batches ends complete, and a batch that
 is run again after a failure changes nothing.
 """
@@ -19,8 +19,7 @@ from pyspark.sql import types as T
 
 from tierone import schemas as S
 from tierone.config import RunContext
-from tierone.functions.period import in_periods
-from tierone.plans.silver import quarantine_financials, tag_financials, write_silver_financials
+from tierone.plans.silver import quarantine_financials, settle_financials
 from tierone.sources.parquet import read_dataset, write_dataset
 
 # Files per micro-batch: with ~128 MB Parquet files, about 1.3 TB per batch.
@@ -58,9 +57,8 @@ def incremental_silver_financials(spark: SparkSession, bronze_path: str, silver_
         if not periods:
             return
         whole = read_dataset(batch.sparkSession, bronze_path, S.BRONZE_FINANCIALS)
-        tagged = tag_financials(whole.filter(in_periods(sorted(periods))))
-        write_silver_financials(tagged, silver_path, run)
-        _replace_rejects(quarantine_financials(tagged, run), quarantine_path, run, periods)
+        _, landed = settle_financials(whole, silver_path, f"{checkpoint}/routes", run, sorted(periods))
+        _replace_rejects(quarantine_financials(landed, run), quarantine_path, run, periods)
 
     reader = spark.readStream.schema(S.BRONZE_FINANCIALS).format("parquet")
     if max_files_per_trigger:
