@@ -10,6 +10,8 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tierone.llm import (
@@ -342,7 +344,7 @@ def test_decontamination_on_awkward_rows(spark, odd, empty):
     bench = spark.createDataFrame(
         [(1, "Same text, here"), (2, None), (3, "..."), (4, " ".join(LONG.split()[500:530])),
          (5, "same TEXT here"), (None, "none of these words occur anywhere at all")], "item_id long, text string")
-    rows = decontam.contamination(odd, bench, with_near=True).collect()
+    rows = decontam.contamination(odd, bench).collect()
     assert len(rows) == len(AWKWARD)
     by = {r.doc_id: r for r in rows}
     assert (by[5].n_hit, by[5].n_items, by[5].items_sha256) == (3, 2, sha("1,5"))
@@ -355,8 +357,38 @@ def test_decontamination_on_awkward_rows(spark, odd, empty):
 def test_words_in_another_order_are_a_proximity_match(spark):
     docs = spark.createDataFrame([(1, "x a1 a3 a2 a4 a5 a6 a7 a8 a9 a10 y")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "a1 a2 a3 a4 a5 a6 a7 a8 a9 a10")], "item_id long, text string")
-    row = decontam.contamination(docs, bench, with_near=True).first()
+    row = decontam.contamination(docs, bench).first()
     assert not row.contaminated and row.n_near == 1
+    # Also where the corpus has not seen one of the words, be it the rarest.
+    bench = spark.createDataFrame([(1, "a1 a2 a3 a4 a5 unseen a7 a8 a9 a10")], "item_id long, text string")
+    row = decontam.contamination(docs, bench).first()
+    assert not row.contaminated and row.n_near == 1
+
+
+def test_a_text_is_split_once_in_each_pass(spark, odd):
+    bench = decontam.windows(spark.createDataFrame([(1, "same text here")], "item_id long, text string"))
+    uses = odd.select(F.explode(decontam.word_list(F.col("text"))).alias("term"))
+    plan = uses._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+    rows = decontam.words(odd.select("text")).select("words", F.posexplode(F.concat("words", F.array(F.lit("")))))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1 and bench.count() == 1
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(alphabet="aZé漢 .\n9-\x00\x7f", max_size=30), min_size=40, max_size=60))
+def test_word_lists_equal_the_pattern(spark, some):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(some)], "i int, t string")
+    got = {r.i: r.w for r in rows.select("i", decontam.word_list(F.col("t")).alias("w")).collect()}
+    assert got == {i: WORD.findall(low(t)) for i, t in enumerate(some)}
+
+
+def test_contaminated_rows_go_by_their_text(spark):
+    phrase = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame(
+        [(None, phrase, "a"), (None, "ten nine eight seven six five four three two one", "b"), (1, phrase, "c"),
+         (1, phrase + " x", "d"), (1, "clean words", "e"), (2, None, "f")], "doc_id long, text string, __key string")
+    bench = spark.createDataFrame([(1, phrase)], "item_id long, text string")
+    assert sorted(r["__key"] for r in decontam.drop_contaminated(docs, bench).collect()) == ["b", "e", "f"]
 
 
 # ------------------------------------------------------------------ licenses, secrets, passages

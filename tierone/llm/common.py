@@ -44,6 +44,14 @@ def words_of(text: Column, pattern: str = WORD) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, lengthened until ``df`` has no such column (names differ in case only are the same)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once, also where lambdas in the body use it."""
     return F.transform(F.array(value), body)[0]

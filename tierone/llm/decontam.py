@@ -10,7 +10,9 @@ intersects them with the shifted list of the next rarest term, unless that
 list is over ``LIST_RATIO`` times as long, when looking at the stored words is
 cheaper. What is left is compared word by word (exact phrase matches); where
 the words around an anchor hold at least ``NEAR_SHARE`` of a window's terms in
-any order it is a proximity match. Only postings are shuffled, never texts.
+any order it is a proximity match, also if the corpus lacks some of its terms.
+Only postings are shuffled, never texts. A text is split into words once in
+each of the two passes.
 
 Defined results: null text has no words; an item without words is never found;
 equal windows of several items count for each of them; a null ``item_id``
@@ -20,19 +22,30 @@ by one; an empty benchmark leaves every document clean.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tierone.llm.common import ascii_lower, join_checked, materialize, words_of
+from tierone.llm.common import ascii_lower, join_checked, let, materialize, unused
 
+#: What lies between words: ASCII but letters and digits.
+SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 LIST_RATIO = 16
 NEAR_SHARE = 0.8
 LENGTH = ""                             # the term of length postings; no word is empty
 
 
+def word_list(text: Column) -> Column:
+    """The words of a text, A-Z in lower case: what lies between separators, but for empty ends."""
+    def inner(parts: Column) -> Column:
+        lead, trail = ((F.element_at(parts, i) == "").cast("int") for i in (1, -1))
+        return F.slice(parts, lead + 1, F.greatest(F.size(parts) - lead - trail, F.lit(0)))
+
+    return let(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS), inner)
+
+
 def words(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("words", words_of(ascii_lower(F.col("text"))))
+    return docs.withColumn("words", word_list(F.col("text")))
 
 
 def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -44,15 +57,16 @@ def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
             .select("item_id", F.explode(parts).alias("win")).distinct())
 
 
-def anchored(wins: DataFrame, corpus: DataFrame, ratio: int = LIST_RATIO) -> DataFrame:
+def anchored(wins: DataFrame, docs: DataFrame, ratio: int = LIST_RATIO) -> DataFrame:
     """Distinct windows with the offsets and terms of their rarest and next rarest words.
 
-    Windows with a word that the corpus lacks cannot occur and are left out.
+    Of words that the corpus has: windows that share none with it are left out.
     """
     distinct = materialize(wins.select("win").distinct()
                            .withColumn("wid", F.monotonically_increasing_id()), "decon-windows")
     terms = materialize(distinct.select(F.explode("win").alias("term")).distinct(), "decon-terms")
-    uses = corpus.select(F.explode("words").alias("term"))
+    # Exploding the expression itself: over a column Spark infers a filter that splits the text twice.
+    uses = docs.select(F.explode(word_list(F.col("text"))).alias("term"))
     counts = materialize(join_checked(uses, terms, ["term"], "inner").groupBy("term")
                          .agg(F.count(F.lit(1)).alias("n")), "decon-counts")
     spots = distinct.select("wid", F.posexplode("win").alias("off", "term")).join(counts, "term")
@@ -60,7 +74,7 @@ def anchored(wins: DataFrame, corpus: DataFrame, ratio: int = LIST_RATIO) -> Dat
               .agg(F.array_sort(F.collect_list(F.struct("n", "off", "term"))).alias("r")))
     first, second = F.col("r")[0], F.try_element_at("r", F.lit(2))
     use_second = second["n"] <= first["n"] * ratio
-    return (distinct.join(ranked, "wid").filter(F.size("r") == F.size("win"))
+    return (distinct.join(ranked, "wid")
             .select("wid", "win", first["term"].alias("term"), first["off"].alias("off"),
                     F.when(use_second, second["term"]).alias("term2"),
                     F.when(use_second, second["off"]).alias("off2")))
@@ -74,18 +88,18 @@ def build_index(corpus: DataFrame, wins: DataFrame, size: int = WINDOW) -> DataF
              .groupBy("term").agg(F.max("anchor").alias("anchor"))
              .unionByName(wins.sparkSession.createDataFrame([(LENGTH, False)], "term string, anchor boolean")))
     terms = materialize(terms, "decon-anchors")
-    rows = corpus.select("rid", "doc_id", "words", F.posexplode(
+    rows = corpus.select("rid", "doc_id", "key", "words", F.posexplode(
         F.concat("words", F.array(F.lit(LENGTH)))).alias("pos", "term"))
     at = F.greatest(F.col("pos") - size + 1, F.lit(0))
     found = join_checked(rows, terms, ["term"], "inner")
     return materialize(found.select(
-        "rid", "doc_id", "term", "pos", at.alias("at"),
+        "rid", "doc_id", "key", "term", "pos", at.alias("at"),
         F.when(F.col("anchor"), F.slice("words", at + 1, 2 * size - 1)).alias("ctx")), "decon-index")
 
 
 def search(index: DataFrame, wins: DataFrame, near_share: float = NEAR_SHARE) -> DataFrame:
     """Matches ``rid, start, wid, len, exact`` of the windows in the indexed corpus."""
-    hits = (join_checked(index.filter("ctx IS NOT NULL").drop("doc_id"), wins, ["term"], "inner")
+    hits = (join_checked(index.filter("ctx IS NOT NULL").drop("doc_id", "key"), wins, ["term"], "inner")
             .withColumn("start", F.col("pos") - F.col("off")))
     second = index.filter(F.col("term") != LENGTH).select(
         F.col("rid").alias("rid2"), F.col("term").alias("t2"), F.col("pos").alias("pos2"))
@@ -102,15 +116,13 @@ def search(index: DataFrame, wins: DataFrame, near_share: float = NEAR_SHARE) ->
     return exact.select(*columns).unionByName(near.select(*columns))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
-                  with_near: bool = False) -> DataFrame:
-    """One row per document: rid, doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
-
-    ``with_near`` adds ``n_near``, the windows with a proximity match only.
-    """
-    corpus = words(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")).drop("text")
+def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """One row per document: rid, doc_id, key (a hash of the text), n_words, n_hit, n_items, items_sha256,
+    contaminated, and n_near, the distinct windows with a proximity match only."""
+    corpus = words(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id",
+                               F.xxhash64("text").alias("key"), "text")).drop("text")
     item_windows = materialize(windows(benchmark, size), "decon-items")
-    wins = materialize(anchored(item_windows, corpus), "decon-anchored")
+    wins = materialize(anchored(item_windows, docs), "decon-anchored")
     index = build_index(corpus, wins, size)
     found = materialize(search(index, wins), "decon-found")
     matches = found.filter("exact")
@@ -127,19 +139,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
              .select("rid", "item_id").distinct().groupBy("rid")
              .agg(F.count(F.lit(1)).alias("n_items"),
                   F.array_join(F.array_sort(F.collect_list(F.col("item_id").cast("string"))), ",").alias("ids")))
-    out = (index.filter(F.col("term") == LENGTH).select("rid", "doc_id", F.col("pos").cast("long").alias("n_words"))
-           .join(covered, "rid", "left").join(items, "rid", "left"))
+    near = (found.groupBy("rid", "wid").agg(F.max("exact").alias("e")).filter("NOT e")
+            .groupBy("rid").agg(F.count(F.lit(1)).alias("n_near")))
+    out = (index.filter(F.col("term") == LENGTH)
+           .select("rid", "doc_id", "key", F.col("pos").cast("long").alias("n_words"))
+           .join(covered, "rid", "left").join(items, "rid", "left").join(near, "rid", "left"))
     zero = F.lit(0).cast("long")
-    columns = ["rid", "doc_id", "n_words", F.coalesce("n_hit", zero).alias("n_hit"),
-               F.coalesce("n_items", zero).alias("n_items"),
-               F.sha2(F.coalesce("ids", F.lit("")), 256).alias("items_sha256"),
-               (F.coalesce("n_hit", zero) > 0).alias("contaminated")]
-    if with_near:
-        near = (found.groupBy("rid", "wid").agg(F.max("exact").alias("e")).filter("NOT e")
-                .groupBy("rid").agg(F.count(F.lit(1)).alias("n_near")))
-        out = out.join(near, "rid", "left")
-        columns.append(F.coalesce("n_near", zero).alias("n_near"))
-    return out.select(*columns)
+    return out.select("rid", "doc_id", "key", "n_words", F.coalesce("n_hit", zero).alias("n_hit"),
+                      F.coalesce("n_items", zero).alias("n_items"),
+                      F.sha2(F.coalesce("ids", F.lit("")), 256).alias("items_sha256"),
+                      (F.coalesce("n_hit", zero) > 0).alias("contaminated"),
+                      F.coalesce("n_near", zero).alias("n_near"))
 
 
 def benchmark_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,16 +159,12 @@ def benchmark_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any benchmark window, with all their columns.
 
-    Documents are told apart by ``doc_id`` and number of words; of rows that
-    share both, all go if one is contaminated.
+    Rows are found by ``doc_id`` and a 64-bit hash of the text: equal texts are
+    contaminated alike, so rows that share an id, or have none, are told apart.
     """
-    result = contamination(docs, benchmark)
-    gone = materialize(result.filter("contaminated")
-                       .select("doc_id", F.col("n_words").cast("int").alias("__n")).distinct()
-                       .withColumn("__gone", F.lit(True)), "decon-gone")
-    ids = materialize(gone.select("doc_id").distinct().withColumn("__some", F.lit(True)), "decon-gone-ids")
-    # Words are counted again only for ids that have a contaminated row.
-    marked = join_checked(docs, ids, ["doc_id"])
-    n = F.when(F.col("__some"), F.size(words_of(ascii_lower(F.col("text")))))
-    return (join_checked(marked.withColumn("__n", n), gone, ["doc_id", "__n"])
-            .filter(F.col("__gone").isNull()).select(*docs.columns))
+    gone, key = unused("__gone", docs), unused("__key", docs)
+    bad = materialize(contamination(docs.select("doc_id", "text"), benchmark).filter("contaminated")
+                      .select("doc_id", F.col("key").alias(key)).distinct().withColumn(gone, F.lit(True)),
+                      "decon-gone")
+    marked = join_checked(docs.withColumn(key, F.xxhash64("text")), bad, ["doc_id", key])
+    return marked.filter(F.col(gone).isNull()).select(*[f"`{c}`" for c in docs.columns])

@@ -29,7 +29,7 @@ def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
-    return decontam.contamination(documents(spark, sf), decontam.benchmark_of(spark, sf)).drop("rid")
+    return decontam.contamination(documents(spark, sf), decontam.benchmark_of(spark, sf)).drop("rid", "key")
 
 
 def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:

@@ -25,7 +25,7 @@ bw AS (
   SELECT DISTINCT item_id, list_aggregate(w[i:i + 9], 'string_agg', ' ') AS win, least(len(w), 10) AS n
   FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT n FROM bw),
-dw AS (
+dw AS MATERIALIZED (
   SELECT doc_id, i, n, list_aggregate(w[i:i + n - 1], 'string_agg', ' ') AS win
   FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
 hits AS (SELECT doc_id, i, dw.n, item_id FROM dw JOIN bw USING (win, n)),
@@ -35,11 +35,24 @@ covered AS (
   GROUP BY doc_id),
 items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id),
+uses AS (SELECT term, count(*) AS n FROM (SELECT unnest(w) AS term FROM d) GROUP BY term),
+wins AS (SELECT DISTINCT win, string_split(win, ' ') AS t FROM bw),
+anchors AS (
+  SELECT win, min({{'n': n, 'off': off, 'term': term}}) AS a
+  FROM (SELECT win, unnest(t) AS term, unnest(range(0, len(t))) AS off FROM wins) JOIN uses USING (term)
+  GROUP BY win),
+near AS (
+  SELECT doc_id, count(DISTINCT win) AS n_near
+  FROM (SELECT doc_id, w, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS p FROM d)
+  JOIN anchors ON term = a.term JOIN wins USING (win)
+  WHERE len(list_intersect(w[greatest(p - 9, 1):p + 9], t)) >= len(list_distinct(t)) * 0.8
+    AND (doc_id, win) NOT IN (SELECT doc_id, win FROM dw JOIN bw USING (win, n))
+  GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+       coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)
 """
 
 FIM = r"""
