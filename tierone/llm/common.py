@@ -68,6 +68,27 @@ def join_checked(left: DataFrame, right: DataFrame, keys: list[str], how: str =
     return left.join(side, on, how).drop(*[f"__r_{k}" for k in keys])
 
 
+def drop_rows(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
+    """The rows of ``docs`` but those whose ``doc_id`` and text hash are a ``doc_id, key`` of ``gone``, all columns kept."""
+    flag, key = unused("__gone", docs), unused("__key", docs)
+    marks = materialize(gone.select("doc_id", F.col("key").alias(key)).distinct()
+                        .withColumn(flag, F.lit(True)), name)
+    marked = join_checked(docs.withColumn(key, F.xxhash64("text")), marks, ["doc_id", key])
+    return marked.filter(F.col(flag).isNull()).select(*[f"`{c}`" for c in docs.columns])
+
+
+def any_one(rows: DataFrame, keys: list[str], columns: list[str], first: list[Column] | None = None) -> DataFrame:
+    """``columns`` of one row for each key, the same in every run: the greatest by ``first``, then by its values.
+
+    Columns that have no order (maps) do not decide.
+    """
+    ordered = [F.col(f"`{f.name}`") for f in rows.schema.fields
+               if f.name in columns and not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    whole = F.struct(*[F.col(f"`{c}`") for c in columns])
+    return (rows.groupBy(*keys).agg(F.max_by(whole, F.struct(*(first or []), *ordered)).alias("__row"))
+            .select("__row.*"))
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
                 total: int, hot_share: int = 1000) -> DataFrame:
     """Left-join each row with the single record of its group.

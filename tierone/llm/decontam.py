@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tierone.llm.common import ascii_lower, join_checked, let, materialize, unused
+from tierone.llm.common import ascii_lower, drop_rows, join_checked, let, materialize
 
 #: What lies between words: ASCII but letters and digits.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -162,9 +162,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Rows are found by ``doc_id`` and a 64-bit hash of the text: equal texts are
     contaminated alike, so rows that share an id, or have none, are told apart.
     """
-    gone, key = unused("__gone", docs), unused("__key", docs)
-    bad = materialize(contamination(docs.select("doc_id", "text"), benchmark).filter("contaminated")
-                      .select("doc_id", F.col("key").alias(key)).distinct().withColumn(gone, F.lit(True)),
-                      "decon-gone")
-    marked = join_checked(docs.withColumn(key, F.xxhash64("text")), bad, ["doc_id", key])
-    return marked.filter(F.col(gone).isNull()).select(*[f"`{c}`" for c in docs.columns])
+    found = contamination(docs.select("doc_id", "text"), benchmark)
+    return drop_rows(docs, found.filter("contaminated"), "decon-gone")

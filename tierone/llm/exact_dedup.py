@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierone.llm.common import join_checked, join_groups, materialize
+from tierone.llm.common import any_one, join_checked, join_groups, materialize, unused
 
 SPACE = r"[\x20\x09-\x0D]+"
 #: A cut follows three characters of a kind met about once in 100 in running text, 256 to 2,048
@@ -100,19 +100,19 @@ def keep_exact(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
     Rows are found by (doc_id, digest). Where one such pair holds both the row
-    that stays and rows that go (a repeated ``doc_id``), its longest text stays.
+    that stays and rows that go (a repeated ``doc_id``), its longest text stays,
+    of several the greatest row (:func:`any_one`).
     """
     groups = exact_groups(docs.select("doc_id", "text"))
+    sha, n_gone, n_kept = (unused(c, docs) for c in ("__sha", "__gone", "__kept"))
     gone = materialize(
-        groups.groupBy("doc_id", F.col("text_sha256").alias("__sha"))
-        .agg(F.count_if(~F.col("kept")).alias("__gone"), F.count_if("kept").alias("__kept"))
-        .filter("__gone > 0"), "gone")
-    marked = join_checked(docs.withColumn("__sha", F.sha2(normalized(F.col("text")), 256)),
-                          gone, ["doc_id", "__sha"])
-    out = marked.filter(F.col("__gone").isNull()).select(*docs.columns)
-    if not gone.filter("__kept > 0").isEmpty():
-        whole = F.struct(*docs.columns)
-        mixed = (marked.filter("__kept > 0").groupBy("doc_id", "__sha")
-                 .agg(F.max_by(whole, F.char_length(F.coalesce("text", F.lit("")))).alias("r")))
-        out = out.unionByName(mixed.select("r.*"))
+        groups.groupBy("doc_id", F.col("text_sha256").alias(sha))
+        .agg(F.count_if(~F.col("kept")).alias(n_gone), F.count_if("kept").alias(n_kept))
+        .filter(F.col(n_gone) > 0), "gone")
+    marked = join_checked(docs.withColumn(sha, F.sha2(normalized(F.col("text")), 256)), gone, ["doc_id", sha])
+    out = marked.filter(F.col(n_gone).isNull()).select(*[f"`{c}`" for c in docs.columns])
+    if not gone.filter(F.col(n_kept) > 0).isEmpty():
+        longest = F.char_length(F.coalesce("text", F.lit("")))
+        mixed = any_one(marked.filter(F.col(n_kept) > 0), ["doc_id", sha], docs.columns, [longest])
+        out = out.unionByName(mixed)
     return out

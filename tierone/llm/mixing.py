@@ -186,7 +186,7 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     ``shards`` lists the shard of each copy; within a shard a reader shuffles
     by ``xxhash64(seed, shard, copy, doc_id)``, see :func:`shard_order`.
     """
-    given = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "shards")]
+    given = [f"`{c}`" for c in docs.columns if c not in ("size", "source_size", "target", "taken", "shards")]
     sized, blocks = plan(docs.select(*given), shards, seed)
     rows = join_checked(sized, blocks, ["source", "__block"], "inner")
     size, last, whole = F.col("__size"), F.col("__last"), F.col("__whole")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierone.llm.common import join_checked, materialize
+from tierone.llm.common import drop_rows, join_checked, materialize
 from tierone.llm.numeric import mix64, text_groups, tokens
 
 SINGLES, PAIRS = 1 << 16, 1 << 18
@@ -200,9 +200,5 @@ def labels_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The kept rows of ``docs`` with all their columns."""
-    gone = materialize(select(docs, labels).filter(~F.col("kept"))
-                       .select("doc_id", F.col("key").alias("__key")).distinct()
-                       .withColumn("__gone", F.lit(True)), "quality-gone")
-    keyed = docs.withColumn("__key", F.xxhash64("text"))
-    return (join_checked(keyed, gone, ["doc_id", "__key"]).filter(F.col("__gone").isNull())
-            .select(*docs.columns))
+    chosen = select(docs.select("doc_id", "text"), labels)
+    return drop_rows(docs, chosen.filter(~F.col("kept")), "quality-gone")

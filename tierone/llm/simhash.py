@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierone.llm.common import join_checked, join_groups, materialize
+from tierone.llm.common import any_one, drop_rows, join_checked, join_groups, materialize, unused
 from tierone.llm.numeric import text_groups
 
 SHINGLE = 4
@@ -169,7 +169,7 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
                 small: int = SMALL_BUCKET) -> DataFrame:
-    """doc_id, key, fp and component_id of every row of ``docs``."""
+    """doc_id, key, fp, component_id and ``root`` (the component's least fingerprint) of every row of ``docs``."""
     table = materialize(fingerprints(docs, shingle), "sim-fp")
     total = table.count()
     distinct = materialize(table.groupBy("fp").agg(
@@ -177,21 +177,33 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
     label = components(links(distinct.select("fp"), radius, small))
     named = (distinct.join(label.withColumnRenamed("node", "fp"), "fp", "left")
              .withColumn("root", F.coalesce("root", "fp")))
-    least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    groups = materialize(named.join(least, "root").select("fp", "component_id", "n"), "sim-groups")
+    least = named.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count(F.lit(1)).alias("members"))
+    least = materialize(least, "sim-roots")
+    named = join_groups(materialize(named, "sim-named"), least, ["root"], "members", total)
+    groups = materialize(named.select("fp", "root", "component_id", "n"), "sim-groups")
     return (join_groups(table, groups, ["fp"], "n", total)
-            .select("doc_id", "key", "fp", "component_id"))
+            .select("doc_id", "key", "fp", "component_id", "root"))
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` names their component, with all their columns.
+    """One row of ``docs`` for each component, with all its columns.
 
-    Rows with the same ``doc_id`` and text are one document and go or stay as one.
+    The row with the least ``doc_id`` stays (null last), of several the one
+    whose text has the least hash; of rows equal in both, one (:func:`any_one`).
     """
-    groups = near_groups(docs, shingle, radius)
-    gone = materialize(groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-                       .select("doc_id", F.col("key").alias("__key"))
-                       .distinct().withColumn("__gone", F.lit(True)), "sim-gone")
-    keyed = docs.withColumn("__key", F.xxhash64("text"))
-    return (join_checked(keyed, gone, ["doc_id", "__key"]).filter(F.col("__gone").isNull())
-            .select(*docs.columns))
+    groups = materialize(near_groups(docs.select("doc_id", "text"), shingle, radius), "sim-rows")
+    total = groups.count()
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")
+    kept = materialize(groups.groupBy("root").agg(
+        F.min(place).alias("kept"), F.count(F.lit(1)).alias("members")).filter("members > 1"), "sim-kept")
+    rows = join_groups(groups, kept, ["root"], "members", total).filter(F.col("kept").isNotNull())
+    gone = rows.filter(~(F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("key") == F.col("kept.key"))))
+    left = drop_rows(docs, gone, "sim-gone")
+    again = (groups.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1"))
+    again = materialize(again.select("doc_id", "key"), "sim-again")
+    if again.isEmpty():
+        return left
+    key = unused("__key", docs)
+    several = join_checked(left.withColumn(key, F.xxhash64("text")),
+                           again.withColumnRenamed("key", key), ["doc_id", key], "inner")
+    return drop_rows(left, again, "sim-several").unionByName(any_one(several, ["doc_id", key], docs.columns))
