@@ -1,6 +1,14 @@
 """Corpus preparation: five stages over ``documents``, each applying one operator to what its
 predecessor kept. Every stage but the last returns the columns of its input.
 
+Defined results. Rows are told apart by ``doc_id`` and text, so rows that
+share an id or have none go or stay by their own text. Null and empty texts are
+documents: the exact stage keeps one of them all, and none is contaminated. Of
+equal rows one stays. A stage on an empty table returns an empty table; without
+labels or benchmark nothing is rejected or contaminated. All columns, whatever
+their names, are carried along; only the last stage sets ``size``,
+``source_size``, ``target``, ``taken`` and ``shards``, replacing any columns so named.
+
 ``run`` writes each stage's result as Parquet in the shared folder and rereads it as the next
 stage's documents, so a lost executor or a restarted stage recomputes one stage only.
 """
