@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the shuffle files of finished jobs dropped now, not when the driver next runs short of memory.
+
+    Spark drops them once the driver has collected their last reference; a long
+    operator calls this between its steps, so that disk holds those of one step.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, all else as it is."""
     plain = F.octet_length(text) == F.char_length(text)
