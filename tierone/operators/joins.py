@@ -63,6 +63,28 @@ def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
+#: Most keys that are looked up by equality in the scan itself.
+LOOKUP_KEYS = 200
+
+
+def key_lookup(table: DataFrame, keys: DataFrame, key: str, max_keys: int = LOOKUP_KEYS) -> DataFrame:
+    """The rows of ``table`` whose ``key`` is among ``keys``.
+
+    Up to ``max_keys`` distinct keys become equality tests, which the Parquet
+    scan holds against each row group's statistics and Bloom filter (a long IN
+    list would be pushed as one range); more are joined. The keys are computed
+    once either way.
+    """
+    wanted = keys.select(key).dropna().distinct().checkpoint()
+    few = [r[0] for r in wanted.limit(max_keys + 1).collect()]
+    if len(few) > max_keys:
+        return table.join(wanted, key, "left_semi")
+    found = F.lit(False)
+    for value in sorted(few):
+        found = found | (F.col(key) == F.lit(value))
+    return table.filter(found)
+
+
 def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                 max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:

@@ -427,6 +427,8 @@ SELECT dataset, rule, with_rule, COUNT(*) AS failures FROM p GROUP BY dataset, r
     q["health_republished"] = with_(*BASE, HEALTH) + f"""
 SELECT * REPLACE (CASE WHEN year = 2024 THEN TIMESTAMP '{RERUN_TS}' ELSE _loaded_at END AS _loaded_at)
 FROM health"""
+    q["health_point_lookup"] = with_(*BASE, HEALTH) + """
+SELECT * FROM health WHERE cert IN (SELECT cert FROM inst_s WHERE cert % 59 = 0)"""
     q["banks_by_year"] = with_(*BASE, HEALTH) + """
 SELECT year, COUNT(DISTINCT cert) AS bank_count FROM health GROUP BY year"""
     for name in ("quarter_trend", "capital_distribution", "regional_summary"):

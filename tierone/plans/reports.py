@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tierone.functions.rounding import round_half_up
 from tierone.operators.history import with_previous_quarter
+from tierone.operators.joins import key_lookup
 from tierone.operators.quality import REASON
 from tierone.operators.scorecard import pass_pct
 
@@ -123,11 +124,13 @@ def dq_run_trend(unit_counts: DataFrame) -> DataFrame:
 
 def clustered_lookup(dim: DataFrame, latest: DataFrame, flag: str) -> DataFrame:
     """Current dimension rows of institutions carrying ``flag`` in ``latest``,
-    the health rows of one quarter — a key lookup against the ``cert``-clustered
-    dimension, whose scan gets the range of the keys looked up."""
-    flagged = (latest.filter(F.col("capital_adequacy_flag") == F.lit(flag))
-               .select("cert").distinct())
-    keys = flagged.agg(F.min("cert").alias("lo"), F.max("cert").alias("hi")).first()
-    return (dim.filter(F.col("is_current") & F.col("cert").between(F.lit(keys["lo"]), F.lit(keys["hi"])))
-            .join(flagged, "cert", "left_semi")
+    the health rows of one quarter."""
+    flagged = latest.filter(F.col("capital_adequacy_flag") == F.lit(flag))
+    return (key_lookup(dim.filter(F.col("is_current")), flagged, "cert")
             .select("cert", "name", "city", "stalp", "instcat", "charterclass", "active"))
+
+
+def bank_history(health: DataFrame, banks: DataFrame) -> DataFrame:
+    """Every quarter of the institutions in ``banks``: the table lies by year and state, so the lookup
+    goes by the Bloom filters of ``cert``."""
+    return key_lookup(health, banks, "cert")

@@ -59,6 +59,9 @@ def register_raw(spark: SparkSession, db: str, inst_path: str, fin_path: str) ->
                       partition_by=["year", "quarter"])
 
 
+# Institutions in a row group, at most: the Bloom filters of ``cert`` are sized for them.
+CERTS_PER_GROUP = 1_000_000
+
 HEALTH_TABLE = "bank_health_metrics"
 DIM_TABLE = "dim_institution"
 
@@ -95,7 +98,8 @@ def build_health(spark: SparkSession, db: str, run: RunContext,
             return
         fin = fin.filter(F.col("year").isin(*years))       # partition pruning
     laid_out = cluster(gold.bank_health_metrics(fin, inst, run), ["year"], ["stalp"], ["cert"])
-    publish(spark, db, HEALTH_TABLE, laid_out, "year", None if years is None else [str(y) for y in years])
+    publish(spark, db, HEALTH_TABLE, laid_out, "year", None if years is None else [str(y) for y in years],
+            {"cert": CERTS_PER_GROUP})
 
 
 def build_dim(spark: SparkSession, db: str, run: RunContext) -> None:
@@ -111,7 +115,7 @@ def build_dim(spark: SparkSession, db: str, run: RunContext) -> None:
     touched = [True, False] if closes else [True]
     rows = untouched_versions(dim.filter(F.col("is_current").isin(*touched)), changes).unionByName(merged)
     publish(spark, db, DIM_TABLE, cluster(rows, ["is_current"], ["cert", "stalp"]), "is_current",
-            [str(t).lower() for t in touched])
+            [str(t).lower() for t in touched], {"cert": CERTS_PER_GROUP})
 
 
 def build_partials(spark: SparkSession, db: str, periods: list[tuple[int, int]] | None = None) -> None:

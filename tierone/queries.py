@@ -305,9 +305,10 @@ def dim_clustered_lookup(spark, sf):
     # Quarters from the last one back, until one has a clean row (at most the calendar's).
     periods = sorted(((p.year, p.quarter) for p in
                       fixtures.financial_periods(spark, sf).dropna().collect()), reverse=True)
-    latest = _facts(spark, sf, [])
+    columns = ["cert", "capital_adequacy_flag"]
+    latest = _facts(spark, sf, []).select(*columns)
     for period in periods:
-        latest = _facts(spark, sf, [period])
+        latest = _facts(spark, sf, [period]).select(*columns).checkpoint()      # one quarter, read once
         if not latest.isEmpty():
             break
     return reports.clustered_lookup(dim, latest, C.CAPITAL_FALLBACK)
@@ -525,6 +526,16 @@ def health_republished(spark, sf):
     return spark.table(f"{db}.{warehouse.HEALTH_TABLE}")
 
 
+def health_point_lookup(spark, sf):
+    """The history of a few institutions whose numbers lie far apart."""
+    db = _fresh_db(spark, "lookup")
+    warehouse.register_serving(spark, db)
+    publish(spark, db, warehouse.HEALTH_TABLE, _health(spark, sf), "year",
+            bloom={"cert": warehouse.CERTS_PER_GROUP})
+    banks = _inst_silver(spark, sf).filter(F.col("cert") % 59 == 0)
+    return reports.bank_history(spark.table(f"{db}.{warehouse.HEALTH_TABLE}"), banks)
+
+
 def _partials(spark, sf) -> str:
     """Stored partials after a full build and a second one of the last quarter."""
     path = scratch_path(spark, "partials")
@@ -601,6 +612,7 @@ QUERIES: dict[str, Query] = {
     "dq_run_trend": dq_run_trend,
     "dq_rule_counts": dq_rule_counts,
     "health_republished": health_republished,
+    "health_point_lookup": health_point_lookup,
     "banks_by_year": banks_by_year,
     "partials_quarter_trend": partials_quarter_trend,
     "partials_capital_distribution": partials_capital_distribution,

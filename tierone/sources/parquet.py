@@ -15,7 +15,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,16 +32,33 @@ def cluster(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
+def bloom_options(columns: Mapping[str, int]) -> dict[str, str]:
+    """Writer options: a Bloom filter per row group for each column, for so many distinct values at most.
+
+    A reader that looks for values by equality passes over row groups whose
+    filter has none of them, also where the column's ranges tell nothing. The
+    writer takes the smallest filter that holds what a row group turned out to have.
+    """
+    out = {"parquet.bloom.filter.adaptive.enabled": "true"} if columns else {}
+    for column, ndv in columns.items():
+        out[f"parquet.bloom.filter.enabled#{column}"] = "true"
+        out[f"parquet.bloom.filter.expected.ndv#{column}"] = str(ndv)
+        out[f"parquet.bloom.filter.fpp#{column}"] = "0.001"         # many keys meet many row groups
+    return out
+
+
 def write_dataset(df: DataFrame, path: str, *, mode: str = "overwrite",
                   partition_by: Sequence[str] = (), observe: Observation | None = None,
-                  replace_all: bool = False) -> None:
+                  replace_all: bool = False, bloom: Mapping[str, int] | None = None,
+                  options: Mapping[str, str] | None = None) -> None:
     """Write ``df``; if ``observe`` is given, its row count rides along as a metric.
 
     A partitioned overwrite replaces the partitions it has rows for, or with ``replace_all`` every one.
+    ``bloom`` names columns to write Bloom filters for (:func:`bloom_options`).
     """
     if observe is not None:
         df = df.observe(observe, F.count(F.lit(1)).alias("rows"))
-    writer = df.write.mode(mode).format("parquet")
+    writer = df.write.mode(mode).format("parquet").options(**bloom_options(bloom or {}), **(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by).option(
             "partitionOverwriteMode", "static" if replace_all else "dynamic")

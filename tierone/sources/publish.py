@@ -15,11 +15,13 @@ publisher at a time; its generations are numbered by it.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Collection
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tierone.sources.parquet import bloom_options
+
 RECORD = "generation bigint, value string, location string"
 
 
@@ -59,7 +61,7 @@ def point(spark: SparkSession, db: str, table: str, column: str, places: dict[st
 
 
 def publish(spark: SparkSession, db: str, table: str, rows: DataFrame, column: str,
-            replaces: Collection[str] | None = None) -> None:
+            replaces: Collection[str] | None = None, bloom: Mapping[str, int] | None = None) -> None:
     """Replace the partitions ``replaces`` (values of ``column``; None: all) by ``rows``.
 
     A replaced partition that gets no rows is dropped. Rows outside the
@@ -69,7 +71,8 @@ def publish(spark: SparkSession, db: str, table: str, rows: DataFrame, column: s
     folder = f"{_root(spark, db)}/{table}/generation-{generation + 1}-{uuid.uuid4().hex}"
     seen = Observation(f"publish_{table}")
     values = F.collect_set(F.col(column).cast("string"))        # bounded by the partitions
-    (rows.observe(seen, values.alias("values")).write.partitionBy(column).parquet(folder))
+    (rows.observe(seen, values.alias("values")).write.options(**bloom_options(bloom or {}))
+     .partitionBy(column).parquet(folder))
     new = {v: f"{folder}/{column}={v}" for v in seen.get.get("values", [])}
     replaces = set(places) | set(new) if replaces is None else set(replaces)
     if set(new) - replaces:
