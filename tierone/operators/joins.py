@@ -70,19 +70,22 @@ LOOKUP_KEYS = 200
 def key_lookup(table: DataFrame, keys: DataFrame, key: str, max_keys: int = LOOKUP_KEYS) -> DataFrame:
     """The rows of ``table`` whose ``key`` is among ``keys``.
 
-    Up to ``max_keys`` distinct keys become equality tests, which the Parquet
-    scan holds against each row group's statistics and Bloom filter (a long IN
-    list would be pushed as one range); more are joined. The keys are computed
-    once either way.
+    The scan gets the range of the keys. Up to ``max_keys`` distinct keys become
+    equality tests too, which it holds against each row group's statistics and
+    Bloom filter (a long IN list would be pushed as one range); more are joined.
+    The keys are computed once either way.
     """
     wanted = keys.select(key).dropna().distinct().checkpoint()
-    few = [r[0] for r in wanted.limit(max_keys + 1).collect()]
-    if len(few) > max_keys:
-        return table.join(wanted, key, "left_semi")
+    lo, hi, n = wanted.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
+    if not n:
+        return table.limit(0)
+    near = table.filter(F.col(key).between(F.lit(lo), F.lit(hi)))
+    if n > max_keys:
+        return near.join(wanted, key, "left_semi")
     found = F.lit(False)
-    for value in sorted(few):
-        found = found | (F.col(key) == F.lit(value))
-    return table.filter(found)
+    for r in wanted.orderBy(key).collect():
+        found = found | (F.col(key) == F.lit(r[0]))
+    return near.filter(found)
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
