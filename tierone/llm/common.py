@@ -34,6 +34,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a scratch table of :func:`materialize`, once all that reads it has been written."""
+    spark = table.sparkSession
+    home = scratch_path(spark, "").rpartition("/")[0]
+    files = spark._jvm.org.apache.hadoop.fs
+    for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        path = files.Path(folder)
+        if path.getParent().toUri().getPath() != files.Path(home).toUri().getPath():
+            raise ValueError(f"no scratch table: {folder}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Have the shuffle files of finished jobs dropped now, not when the driver next runs short of memory.
 
