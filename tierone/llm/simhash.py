@@ -9,9 +9,10 @@ their vectors, so every pair within the radius meets in some table.
 Only distinct fingerprints are compared. A bucket of up to ``SMALL_BUCKET``
 is compared whole in one vectorised step that returns a spanning forest of its
 links. In a larger bucket members are joined through the points of the ball of
-radius r/2 around each (over the bits the table leaves open): two members
-share a point exactly if they are within r, and sharing is all a component
-needs, so the work stays linear in the bucket. Components are found by
+radius r/2 around each (over the bits the table leaves open): a ball of radius
+floor(r/2) and one of ceil(r/2) share a point exactly if their members are within
+r, so at every point all members are linked with one of the nearer ones, and
+the work stays linear in the bucket. Components are found by
 minimum-label steps with pointer jumping over written tables.
 
 Defined results: null or empty text has fingerprint zero and links like any
@@ -123,30 +124,32 @@ def links(fps: DataFrame, radius: int = RADIUS, small: int = SMALL_BUCKET) -> Da
             .agg(F.collect_list("fp").alias("fps")).select("fps").mapInArrow(within, "a long, b long"))
     large = members.filter(F.col("n") > small)
     if not large.isEmpty():
-        if radius % 2:
-            raise ValueError("buckets over the small size need an even radius")
         free = [[b for b in range(64) if not m >> b & 1] for m in covering_masks(radius)]
-        flips = [[_signed(sum(1 << b for b in c)) for k in range(radius // 2 + 1)
+        flips = [[(_signed(sum(1 << b for b in c)), k <= radius // 2) for k in range((radius + 1) // 2 + 1)
                   for c in combinations(bits, k)] for bits in free]
         balls = fps.sparkSession.createDataFrame(
-            [(t, x) for t, f in enumerate(flips) for x in f], "t int, flip long")
+            [(t, x, near) for t, f in enumerate(flips) for x, near in f], "t int, flip long, near boolean")
         points = (large.join(F.broadcast(balls), "t")
-                  .select("t", "key", "fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("point")))
+                  .select("t", "key", "fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("point"), "near"))
         centre = (points.groupBy("t", "key", "point")
-                  .agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("m")).filter("m > 1"))
+                  .agg(F.min(F.when(F.col("near"), F.col("fp"))).alias("b"), F.count(F.lit(1)).alias("m"))
+                  .filter("m > 1 and b is not null"))
         star = (points.join(centre, ["t", "key", "point"]).filter("fp != b")
                 .select(F.col("fp").alias("a"), "b"))
         near = near.unionByName(star.distinct())
     return near.distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """``node, root`` of every node of ``a, b``; root is the least node reachable."""
+def components(edges: DataFrame) -> DataFrame:
+    """``node, root`` of every node of ``a, b``; root is the least node reachable.
+
+    Labels only fall, so the rounds end; their number grows with the logarithm of a component's width.
+    """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = materialize(both, "cc-edges")
     label = materialize(both.groupBy(F.col("a").alias("node"))
                         .agg(F.least(F.min("b"), F.col("node")).alias("root")), "cc")
-    for _ in range(max_rounds):
+    while True:
         # The least label around each node, offered to the node and to its present root.
         around = (both.join(label.withColumnRenamed("node", "b"), "b")
                   .groupBy(F.col("a").alias("node")).agg(F.min("root").alias("low")))
@@ -164,7 +167,6 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         label = moved
         if changed.isEmpty():
             return label
-    raise RuntimeError("components did not settle")
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
