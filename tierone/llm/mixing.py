@@ -32,7 +32,9 @@ from tierone.llm.common import TOKEN, join_checked, let, materialize
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
+#: Shards double from this number until each takes at most SHARD_WORDS words.
 SHARDS = 8
+SHARD_WORDS = 1 << 26
 SEED = 42
 
 
@@ -136,7 +138,15 @@ def split_tree(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> Dat
             .select("x.source", "shard", F.col("x.quota").alias("quota")))
 
 
-def plan(docs: DataFrame, shards: int = SHARDS, seed: int = SEED):
+def shards_for(words: float) -> int:
+    """The number of shards for a mix of so many words: a power of two."""
+    shards = SHARDS
+    while shards * SHARD_WORDS < words:
+        shards *= 2
+    return shards
+
+
+def plan(docs: DataFrame, shards: int | None = None, seed: int = SEED):
     """(documents with ``size`` and block, block table) of the mix of ``docs``."""
     counts = materialize(docs.groupBy("source").agg(
         F.ceil(F.sqrt(F.count(F.lit(1)))).alias("__blocks")), "mix-counts")
@@ -148,6 +158,8 @@ def plan(docs: DataFrame, shards: int = SHARDS, seed: int = SEED):
         F.sum("__size").alias("words")), "mix-blocks")
     goal = materialize(targets(blocks.groupBy("source").agg(
         F.sum("words").alias("source_size"))), "mix-targets")
+    if shards is None:
+        shards = shards_for(goal.agg(F.sum("target")).first()[0] or 0)
     goal = (goal.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(
                 F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
             .withColumn("rest", F.round("target").cast("long")
@@ -180,11 +192,12 @@ def plan(docs: DataFrame, shards: int = SHARDS, seed: int = SEED):
         copies.alias("__shards"))
 
 
-def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> DataFrame:
     """Every row of ``docs`` with size, source_size, target, taken and its copies' shards.
 
-    ``shards`` lists the shard of each copy; within a shard a reader shuffles
-    by ``xxhash64(seed, shard, copy, doc_id)``, see :func:`shard_order`.
+    ``shards`` lists the shard of each copy (their number is a parameter or
+    derived from the words taken); the local shuffle orders a shard's copies
+    by their :func:`places`, see :func:`shard_order`.
     """
     given = [f"`{c}`" for c in docs.columns if c not in ("size", "source_size", "target", "taken", "shards")]
     sized, blocks = plan(docs.select(*given), shards, seed)
@@ -209,7 +222,13 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     return entire.unionByName(partly)
 
 
+def places(shards: Column, doc_id: Column, seed: int = SEED) -> Column:
+    """Each copy's key in the shuffle within its shard."""
+    return F.transform(shards, lambda shard, copy: F.xxhash64(F.lit(seed), shard, copy, doc_id))
+
+
 def shard_order(mixed: DataFrame, seed: int = SEED) -> DataFrame:
     """One row per copy with ``shard`` and ``place``, the key of the shuffle within the shard."""
-    return (mixed.select("*", F.posexplode("shards").alias("copy", "shard"))
-            .withColumn("place", F.xxhash64(F.lit(seed), "shard", "copy", "doc_id")))
+    copies = F.arrays_zip(F.col("shards").alias("shard"), places(F.col("shards"), F.col("doc_id"), seed).alias("place"))
+    return (mixed.select("*", F.posexplode(copies).alias("copy", "at"))
+            .select("*", "at.shard", "at.place").drop("at"))

@@ -48,7 +48,8 @@ def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf).select("doc_id", "text", "source"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "shards")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "shards",
+                        mixing.places(F.col("shards"), F.col("doc_id")).alias("places"))
 
 
 def op9_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
