@@ -2,9 +2,13 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
+import re._constants as C
+import re._parser as parser
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -15,7 +19,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tierone.llm import (
-    decontam, exact_dedup, langid, licenses, mixing, pii, quality, queries, secrets, simhash, sql, substring,
+    decontam, exact_dedup, langid, licenses, mixing, numeric, pii, quality, queries, secrets, simhash, sql, substring,
 )
 from tierone.llm.common import documents
 
@@ -281,11 +285,87 @@ def test_language_on_held_out_documents(spark, sf, odd, empty):
 
 def test_trigram_vectors_bind_and_permute():
     codes, p = langid.letter_codes(), langid.Profiles()
-    counts = langid.trigram_counts("Ab", codes)
-    a, b, gap = (p.letters[2][c] for c in (1, 2, 0))
+    a, b, gap, ja, ju = p.letters(np.array([1, 2, 0, 0x44F, 0x44E]))
     want = (np.roll(gap, 2) * np.roll(a, 1) * b) + (np.roll(a, 2) * np.roll(b, 1) * gap)
-    assert np.array_equal(p.bundle(counts), want)
-    assert langid.trigram_counts("12 !", codes) is None
+    assert np.array_equal(p.bundle(langid.trigrams("Ab", codes)), want)
+    turn = np.roll(b, 2) * np.roll(gap, 1) * a          # from the first word into the second
+    assert np.array_equal(p.bundle(langid.trigrams("AB. ab", codes)), 2 * want + turn)
+    want = (np.roll(gap, 2) * np.roll(ja, 1) * ju) + (np.roll(ja, 2) * np.roll(ju, 1) * gap)
+    assert np.array_equal(p.bundle(langid.trigrams("\u042f\u044e", codes)), want)
+    assert langid.trigrams("12 !", codes) is None
+
+
+def test_every_letter_has_a_vector_of_its_own():
+    codes = np.unique(langid.letter_codes())
+    vectors = langid.Profiles().letters(codes)
+    assert len(np.unique(vectors > 0, axis=0)) == len(codes) > 100_000
+    some = vectors[:: len(codes) // 500]
+    close = some @ some.T / langid.DIMENSIONS - np.eye(len(some))
+    assert abs(close).max() < 0.3 and abs(vectors.mean()) < 0.001
+
+
+def brute_bundle(text, letters):
+    """Sum over every place of a text, one letter after the other."""
+    runs = "".join(c.lower()[0] if c.isalpha() else " " for c in text or "").split()
+    if not runs:
+        return None
+    line, total = f" {' '.join(runs)} ", np.zeros(langid.DIMENSIONS)
+    if len(line) >= 3:
+        for x, y, z in zip(line, line[1:], line[2:], strict=False):
+            total += np.roll(letters(x), 2) * np.roll(letters(y), 1) * letters(z)
+    return total
+
+
+def test_languages_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(8)
+    scripts = {"en": "etaoins", "fr": "eas\u00e9\u00e8\u00e7t", "ru": "\u043e\u0435\u0430\u0438\u043d\u0442\u0441",
+               "uk": "\u043e\u0435\u0430\u0456\u043d\u0442\u0457", "zh": "\u7684\u4e00\u662f\u4e0d\u4e86\u5728\u4eba"}
+    rows = []
+    for i in range(150):
+        lang = rng.choice([*scripts, None])
+        letters = scripts[lang or "en"]
+        words = ("".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(rng.randint(0, 60)))
+        rows.append((i, rng.choice([" ", ", ", " 7 "]).join(words).title() or None, lang))
+    rows += [(200, "", "en"), (201, "12 -", "fr"), (None, "Ete ast", "fr"), (3, rows[3][1], rows[3][2])]
+    profiles, memo = langid.Profiles(), {}
+
+    def letters(c):
+        if c not in memo:
+            code = 0 if c == " " else ord(c) - 96 if "a" <= c <= "z" else ord(c)
+            memo[c] = profiles.letters(np.array([code]))[0]
+        return memo[c]
+
+    def held(doc_id):
+        return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 3 == 1
+
+    sums = {}
+    for doc_id, text, lang in rows:
+        v = brute_bundle(text, letters)
+        if lang is not None and not held(doc_id) and v is not None:
+            sums[lang] = sums.get(lang, 0) + v
+    want = []
+    for doc_id, text, _ in rows:
+        v = brute_bundle(text, letters)
+        if v is None:
+            want.append((doc_id, held(doc_id), "und", 0.0))
+            continue
+        cosine = {k: float(s @ v / np.linalg.norm(s) / max(np.linalg.norm(v), 1e-9)) for k, s in sums.items()}
+        best = min(cosine, key=lambda k: (-round(cosine[k], 9), k))
+        want.append((doc_id, held(doc_id), best, round(min(1.0, max(0.0, cosine[best])), 6)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    for bound in (langid.HELD_GRAMS, 50):           # small enough to bundle after every text
+        monkeypatch.setattr(langid, "HELD_GRAMS", bound)
+        got = [(r.doc_id, r.held_out, r.lang_pred, round(r.score, 6)) for r in langid.identify(docs).collect()]
+        assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+def test_equal_cosines_go_to_the_first_language(spark):
+    text = "one text of two languages"
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, text, ("xb", "xa", "xc")[n % 3]) for n, i in enumerate(ids[:24])] + [(50, text, None)]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert {r.lang_pred for r in got} == {"xa"}
+    assert all(r.score == pytest.approx(1.0) for r in got)
 
 
 def test_quality_keeps_clean_documents(spark, sf, odd, empty):
@@ -331,6 +411,109 @@ def test_quality_rejects_toxic_documents(spark):
     assert no_toxic.agg(F.max("harm")).first()[0] == 0
 
 
+def brute_tokens(text):
+    """Hash of every token in turn, one text and one token at a time."""
+    raw = (text or "").encode().lower()
+    out = []
+    for m in re.finditer(rb"[0-9a-z_\x80-\xff]+|[!-/:-@\[-^`{-~]+", raw):
+        h = sum((c + 1) * pow(int(numeric._FACTOR), i + 1, 1 << 64) for i, c in enumerate(m[0])) % (1 << 64)
+        out.append(int(numeric.mix64(np.array([h], np.uint64))[0]))
+    return out
+
+
+def brute_grams(text):
+    h = brute_tokens(text)
+    single = [x % quality.SINGLES for x in h]
+    pairs = [int(numeric.mix64(np.array([(3 * x + y) % (1 << 64)], np.uint64))[0]) % quality.PAIRS + quality.SINGLES
+             for x, y in itertools.pairwise(h)]
+    other = [(x >> 40) % quality.SINGLES + quality.SINGLES for x in h]
+    return single, pairs, other
+
+
+def test_quality_equals_brute_force(spark):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(120)]
+    rows, marks = [], []
+    for i in range(400):
+        good = i % 3 > 0
+        some = rng.choices(words[:80] if good else words[40:], k=rng.randint(1, 60))
+        rows.append((i, "; ".join(some) if i % 5 else " ".join(some).title()))
+        if i % 4 < 3:
+            marks.append((i, int(good), int(i % 11 == 0)))
+    rows += [(500, None), (501, ""), (7, rows[7][1]), (None, "w1 w2")]
+    marks += [(8, 0, 0), (None, 1, 0), (500, 1, 0), (900, 1, 0)]     # a label in dispute, one of no document
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    known = {r.doc_id: r for r in quality.labelled(labels).collect()}
+    worst = {}
+    for i, good, toxic in marks:
+        if i is not None:
+            q, t = worst.get(i, (1, 0))
+            worst[i] = (min(q, good), max(t, toxic))
+    assert {i: (r.clean, r.toxic) for i, r in known.items()} == {
+        i: (q == 1 and t == 0, t == 1) for i, (q, t) in worst.items()}
+
+    raw, target, docs_with, n_docs = Counter(), Counter(), {"clean": Counter(), "toxic": Counter()}, Counter()
+    for i, text in rows:
+        single, pairs, other = brute_grams(text)
+        raw.update(single + pairs)
+        label = known.get(i)
+        if label is None or not label.fit or not (label.clean or label.toxic):
+            continue
+        kind = "clean" if label.clean else "toxic"
+        n_docs[kind] += 1
+        docs_with[kind].update(set(single) | set(other))
+        if label.clean:
+            target.update(single + pairs)
+
+    def ratio(g):
+        part = [k for k in raw if (k < quality.SINGLES) == (g < quality.SINGLES)]
+        scale = sum(target[k] for k in part) / sum(raw[k] for k in part)
+        return np.log((target[g] + quality.PRIOR) / (raw[g] * scale + quality.PRIOR))
+
+    few = min(n_docs.values())
+
+    def harm(g):
+        bad, good = (docs_with[k][g] * few / n_docs[k] + quality.HARM_PRIOR for k in ("toxic", "clean"))
+        return np.log(bad / good)
+
+    ratios = {g: ratio(g) for g in raw}
+    want = {}
+    for i, text in rows:
+        single, pairs, other = brute_grams(text)
+        want[i] = (len(single) + len(pairs), sum(ratios[g] for g in single + pairs),
+                   max([0.0, *(min(harm(a), harm(b)) for a, b in zip(single, other, strict=True))]))
+    got = quality.select(docs, labels).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.n_grams == want[r.doc_id][0]
+        assert r.log_weight == pytest.approx(want[r.doc_id][1], abs=2e-4)
+        assert r.harm == pytest.approx(want[r.doc_id][2], abs=1e-5)
+
+    # The draw: Gumbel noise of the id's hash, as many as weigh at least as all but few clean ones held back.
+    held = sorted((r.log_weight, r.harm) for r in got if r.doc_id in known and known[r.doc_id].clean
+                  and not known[r.doc_id].fit)
+    least = held[max(1, math.ceil(quality.CLEAN_LOSS * len(held))) - 1][0]
+    harms = sorted(h for _, h in held)
+    limit = max(harms[math.ceil((1 - quality.HARM_LOSS) * len(harms)) - 1], quality.HARM)
+    harmless = [r for r in got if r.harm <= limit]
+    k = sum(r.log_weight >= least for r in harmless)
+    noise = {}
+    for r in got:
+        # A null id adds nothing to the seed.
+        h = quality.SEED + 1
+        h = xxhash.xxh64(h.to_bytes(4, "little"), seed=42).intdigest()
+        if r.doc_id is not None:
+            h = xxhash.xxh64(r.doc_id.to_bytes(8, "little"), seed=h).intdigest()
+        noise[r.doc_id] = -math.log(-math.log(((h >> 11) + 0.5) / 2**53))
+    key = {id(r): r.log_weight + noise[r.doc_id] for r in got}
+    kth = sorted((key[id(r)] for r in harmless), reverse=True)[k - 1]
+    for r in got:
+        assert r.noisy == pytest.approx(key[id(r)], abs=1e-6)
+        assert r.kept == (r.harm <= limit and key[id(r)] >= kth - 1e-9), r.doc_id
+    assert 0 < sum(r.kept for r in got) < len(got)
+
+
 def test_kth_largest_with_ties(spark):
     values = [float(i % 700) / 3 for i in range(9000)]
     rows = spark.createDataFrame([(v,) for v in values], "x double")
@@ -422,6 +605,95 @@ def test_trigram_queries_never_miss():
     assert secrets.trigram_query(r"[0-9a-f]+") is None
 
 
+def made_match(regex, rng):
+    """A random text that the regex matches, built from its parse."""
+    def draw(items):
+        out = ""
+        for op, arg in items:
+            if op is C.LITERAL:
+                out += chr(arg)
+            elif op is C.NOT_LITERAL:
+                out += "~"
+            elif op is C.IN:
+                allowed = [chr(c) for c in range(33, 127) if re.fullmatch(_set(arg), chr(c))]
+                out += rng.choice(allowed or [chr(a) for o, a in arg if o is C.LITERAL])
+            elif op in (C.MAX_REPEAT, C.MIN_REPEAT):
+                low, high, part = arg
+                out += "".join(draw(part) for _ in range(rng.randint(max(low, 12 * (low == 1 and high > 300)),
+                                                                     min(high, max(low, 1) + 20))))
+            elif op is C.SUBPATTERN:
+                inner = draw(arg[3])
+                out += rng.choice([inner, inner.upper()]) if arg[1] else inner
+            elif op is C.BRANCH:
+                out += draw(rng.choice(arg[1]))
+        return out
+
+    def _set(arg):
+        text = "".join("^" if o is C.NEGATE else f"{re.escape(chr(a[0]))}-{re.escape(chr(a[1]))}" if o is C.RANGE
+                       else re.escape(chr(a)) for o, a in arg if o in (C.NEGATE, C.RANGE, C.LITERAL))
+        return f"[{text}]"
+
+    return draw(parser.parse(regex))
+
+
+def test_spans_of_all_rules_equal_a_full_scan(spark):
+    rng = random.Random(4)
+    rows, expected = [], {}
+    for i in range(40 * len(secrets.RULES)):
+        rule = secrets.RULES[i % len(secrets.RULES)]
+        match = made_match(rule.regex, rng)
+        if i % 4 == 3:                       # nearly a match
+            spot = rng.randrange(len(match))
+            match = match[:spot] + rng.choice("\u00e9 .") + match[spot + 1:]
+        other = made_match(rng.choice(secrets.RULES).regex, rng)
+        rows.append((i, rng.choice(["", "x ", "\u6f22\U0001f600 "]) + match + rng.choice(["", " ", "\n"]) + other))
+    hits = Counter()
+    for i, text in rows:
+        spans = []
+        for rank, rule in enumerate(secrets.RULES):
+            for m in re.finditer(rule.regex, text):
+                if len(m[rule.group]) >= rule.least:
+                    spans.append((m.start(), rank, rule.kind, m.end()))
+                    hits[rule.kind] += 1
+        expected[i] = ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(spans))
+    assert set(hits) == {r.kind for r in secrets.RULES}          # every rule has matches to be found
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.spans for r in secrets.digest(secrets.scan(docs)).collect()}
+    assert got == expected
+
+
+def brute_labels(text):
+    """Every rule on every text, intervals compared one with another."""
+    small = low(text)
+    form = f" {' '.join(WORD.findall(small))} "
+    found = []
+    for r in licenses.rule_table():
+        for m in re.finditer(r.regex, form) if r.keyword in small else ():
+            start = form[:m.start()].count(" ") - 1
+            found.append((start, start + m[0].count(" ") + 1, r.priority, r.rule, r.label))
+    base = len(licenses.CONFIDENCE) - 1
+
+    def inside(x):
+        return any(y[:2] != x[:2] and y[0] <= x[0] and x[1] <= y[1] and y[2] <= x[2]
+                   or y[:2] == x[:2] and y[2:4] < x[2:4] for y in found)
+
+    kept = [x for x in found if x[2] == base or not inside(x)]
+    return (",".join(sorted({x[4] for x in kept})), max([licenses.CONFIDENCE[x[2]] for x in kept], default=0.0),
+            len(kept))
+
+
+def test_license_labels_equal_brute_force(spark, odd, texts):
+    rng = random.Random(6)
+    pieces = [made_match(r.regex.removeprefix("(?<= )").removesuffix("(?= )"), rng) for r in licenses.rule_table()]
+    rows = [(i, rng.choice(["", "It is "]) + rng.choice([" ", ". ", " and ", " or (c) "]).join(
+        rng.choices(pieces, k=rng.randint(1, 6)))) for i in range(600)]
+    rows += [(1000 + i, t) for i, t in list(texts.items())[:100]] + [(2000 + i, r[1]) for i, r in enumerate(AWKWARD)]
+    rows += [(3000 + i, p.upper()) for i, p in enumerate(pieces)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.labels, r.score, r.n_detections) for r in licenses.scan(docs).collect()}
+    assert got == {i: brute_labels(t) for i, t in rows}
+
+
 def test_passages_found_where_fifty_words_repeat(spark, sf, odd, empty, texts):
     seen = {}
     for k, t in texts.items():
