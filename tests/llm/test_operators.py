@@ -466,10 +466,11 @@ def test_quality_equals_brute_force(spark):
         if label.clean:
             target.update(single + pairs)
 
+    scale = {kind: sum(n for g, n in target.items() if (g < quality.SINGLES) == kind)
+             / sum(n for g, n in raw.items() if (g < quality.SINGLES) == kind) for kind in (True, False)}
+
     def ratio(g):
-        part = [k for k in raw if (k < quality.SINGLES) == (g < quality.SINGLES)]
-        scale = sum(target[k] for k in part) / sum(raw[k] for k in part)
-        return np.log((target[g] + quality.PRIOR) / (raw[g] * scale + quality.PRIOR))
+        return np.log((target[g] + quality.PRIOR) / (raw[g] * scale[g < quality.SINGLES] + quality.PRIOR))
 
     few = min(n_docs.values())
 
@@ -605,6 +606,19 @@ def test_trigram_queries_never_miss():
     assert secrets.trigram_query(r"[0-9a-f]+") is None
 
 
+CLASSES = {}
+
+
+def members(name, arg):
+    """The visible characters of a character class (those it lists, if none is visible)."""
+    if name not in CLASSES:
+        inside = "".join("^" if o is C.NEGATE else f"{re.escape(chr(a[0]))}-{re.escape(chr(a[1]))}"
+                         if o is C.RANGE else re.escape(chr(a)) for o, a in arg)
+        seen = [chr(c) for c in range(33, 127) if re.fullmatch(f"[{inside}]", chr(c))]
+        CLASSES[name] = seen or [chr(a) for o, a in arg if o is C.LITERAL]
+    return CLASSES[name]
+
+
 def made_match(regex, rng):
     """A random text that the regex matches, built from its parse."""
     def draw(items):
@@ -615,8 +629,7 @@ def made_match(regex, rng):
             elif op is C.NOT_LITERAL:
                 out += "~"
             elif op is C.IN:
-                allowed = [chr(c) for c in range(33, 127) if re.fullmatch(_set(arg), chr(c))]
-                out += rng.choice(allowed or [chr(a) for o, a in arg if o is C.LITERAL])
+                out += rng.choice(members(str(arg), arg))
             elif op in (C.MAX_REPEAT, C.MIN_REPEAT):
                 low, high, part = arg
                 out += "".join(draw(part) for _ in range(rng.randint(max(low, 12 * (low == 1 and high > 300)),
@@ -628,11 +641,6 @@ def made_match(regex, rng):
                 out += draw(rng.choice(arg[1]))
         return out
 
-    def _set(arg):
-        text = "".join("^" if o is C.NEGATE else f"{re.escape(chr(a[0]))}-{re.escape(chr(a[1]))}" if o is C.RANGE
-                       else re.escape(chr(a)) for o, a in arg if o in (C.NEGATE, C.RANGE, C.LITERAL))
-        return f"[{text}]"
-
     return draw(parser.parse(regex))
 
 
