@@ -28,6 +28,18 @@ def test_query_matches_oracle(spark, sf, con, name):
     assert s_rows == d_rows
 
 
+@pytest.mark.parametrize("name", ["capital_distribution", "quarter_trend", "regional_summary",
+                                  "dq_scorecard_audit", "dim_current_sample", "table_inventory"])
+def test_reports_come_in_the_order_of_the_oracle(spark, sf, con, name):
+    got = QUERIES[name](spark, sf)
+    want = con.execute(oracle_sql()[name])
+    columns = [d[0] for d in want.description]
+    rows = [tuple(r[c] for c in columns) for r in got.collect()]
+    keys = [i for i, c in enumerate(columns) if not isinstance(rows[0][i], float)
+            and c not in ("created_at", "_loaded_at")]
+    assert [[row[i] for i in keys] for row in rows] == [[row[i] for i in keys] for row in want.fetchall()]
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0

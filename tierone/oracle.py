@@ -21,6 +21,22 @@ EARLIER_INGESTED_AT = "2024-06-30T00:00:00"
 RERUN_ID = "20250115_000000"
 RERUN_TS = "2025-01-15 00:00:00"
 
+# Descriptions of the dimension and its columns.
+DIM_DESCRIPTION = "Institution dimension with effective / expiry dated versions"
+DIM_COLUMNS = {
+    "cert": "Institution certificate number",
+    "name": "Institution name",
+    "city": "City",
+    "stalp": "State code",
+    "instcat": "Institution category",
+    "charterclass": "Charter class",
+    "active": "Active flag",
+    "effective_date": "First report date of this version YYYYMMDD",
+    "expiry_date": "Report date of the next version, 99991231 if current",
+    "is_current": "True for the open version",
+    "row_created_at": "Run time that built the row (UTC)",
+}
+
 
 def r(expr: str, n: int) -> str:
     return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,12)), {n}) AS DOUBLE)"
@@ -288,7 +304,8 @@ UNION ALL
 SELECT '{RUN_ID}', 'full_pipeline', CAST(SUM(total_records) AS BIGINT),
        CAST(SUM(clean_records) AS BIGINT),
        {r("SUM(clean_records) * 100e0 / NULLIF(SUM(total_records), 0)", 4)}
-FROM score"""
+FROM score
+ORDER BY dataset, run_id"""
     q["capital_distribution"] = with_(*BASE, HEALTH) + f"""
 SELECT capital_adequacy_flag, COUNT(*) AS bank_quarters,
        {r("AVG(rbct1)", 2)} AS avg_t1_ratio, {r("AVG(npl_ratio_pct)", 3)} AS avg_npl_pct
@@ -305,6 +322,10 @@ ORDER BY a.year, a.quarter"""
 SELECT stalp, COUNT(*) AS bank_count, {r("AVG(rbct1)", 2)} AS avg_t1
 FROM health WHERE year = 2024 AND quarter = 4
 GROUP BY stalp ORDER BY bank_count DESC, stalp NULLS FIRST"""
+    q["table_descriptions"] = with_(*BASE, DIM) + "\n" + "\nUNION ALL ".join(
+        f"SELECT 'dim_institution' AS table_id, '{DIM_DESCRIPTION}' AS table_description, "
+        f"'{column}' AS column_name, '{text}' AS description, COUNT({column}) AS filled FROM dim"
+        for column, text in DIM_COLUMNS.items())
     q["table_inventory"] = with_(*BASE) + """
 SELECT * FROM (
   SELECT 'bank_health_metrics' AS table_id, COUNT(*) AS row_count FROM fin_s

@@ -237,6 +237,16 @@ def _raw_counts(spark, db):
     return catalog.table_inventory(spark, db)
 
 
+def table_descriptions(spark, sf):
+    """Descriptions of the registered dimension and its columns, with the rows that fill each."""
+    path = scratch_path(spark, "descriptions")
+    write_dataset(gold.dim_institution(_inst_silver(spark, sf), RUN), path)
+    db = _fresh_db(spark, "described")
+    catalog.register_external(spark, db, "dim_institution", S.DIM_INSTITUTION, path,
+                              comment=S.TABLE_COMMENTS["dim_institution"])
+    return catalog.table_dictionary(spark, db, "dim_institution")
+
+
 def raw_load_replace(spark, sf):
     db = _fresh_db(spark, "raw")
     si, sfin = _silver(spark, sf)
@@ -599,6 +609,7 @@ QUERIES: dict[str, Query] = {
     "quarter_change": quarter_change,
     "regional_summary": regional_summary,
     "table_inventory": table_inventory,
+    "table_descriptions": table_descriptions,
     "table_inventory_sizes": table_inventory_sizes,
     "scd2_history": scd2_history,
     "dq_pass_trend": dq_pass_trend,

@@ -92,6 +92,21 @@ def table_inventory(spark: SparkSession, db: str) -> DataFrame:
     return out.orderBy("table_id")
 
 
+def table_dictionary(spark: SparkSession, db: str, table: str) -> DataFrame:
+    """One row per column: the catalog's descriptions and how many rows fill the column.
+
+    Descriptions are catalog metadata; the counts are one aggregate over the table.
+    """
+    columns = spark.catalog.listColumns(f"{db}.{table}")
+    about = spark.catalog.getTable(f"{db}.{table}").description
+    counts = spark.table(f"{db}.{table}").agg(
+        *[F.count(F.col(f"`{c.name}`")).alias(f"n{i}") for i, c in enumerate(columns)])
+    rows = F.array(*[F.struct(F.lit(c.name).alias("column_name"), F.lit(c.description).alias("description"),
+                              F.col(f"n{i}").alias("filled")) for i, c in enumerate(columns)])
+    return (counts.select(F.explode(rows).alias("c"))
+            .select(F.lit(table).alias("table_id"), F.lit(about).alias("table_description"), "c.*"))
+
+
 def table_location(spark: SparkSession, db: str, table: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_q(db)}.{_q(table)}").filter(
         F.col("col_name") == "Location").select("data_type").collect()
