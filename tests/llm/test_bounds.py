@@ -1,11 +1,13 @@
-"""Former caps: long overlaps, odd radii in large buckets, the number of shards, places within a shard."""
+"""Former caps: long overlaps, odd radii in large buckets, the number of shards, places within a shard, samples."""
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tierone.llm import mixing, pii, simhash
+from tierone.llm.boosting import SLOTS, BoostedTrees
 
 
 def test_candidates_are_compared_with_every_interval():
@@ -64,3 +66,28 @@ def test_copies_have_a_place_within_their_shard(spark):
     assert all((own[r.doc_id][0][r.copy], own[r.doc_id][1][r.copy]) == (r.shard, r.place) for r in rows)
     assert len(rows) == sum(len(s) for s, _ in own.values())
     assert len({(r.shard, r.place) for r in rows}) == len(rows)
+
+
+def test_personal_data_is_learned_from_every_document(spark):
+    rng = random.Random(11)
+    texts = [f"mail {rng.choice('abc')}{i}@host{i % 7}.org or call +1 {200 + i % 700} 555 {1000 + i}" for i in range(9000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    table = pii.training_table(docs).cache()
+    want = sum(len(pii.training_rows(t)) for t in [*texts, *pii.prototypes()])
+    assert table.agg({"n": "sum"}).first()[0] == want
+    trees = BoostedTrees(trees=1, depth=1).fit(table, 0.5, pii.FEATURES)
+    held = trees.steps(table)
+    assert held[:, 2:].sum() == want            # every row is in the sums
+    # The first split is the best one over all rows.
+    rows = table.collect()
+    code = np.array([list(r.code) for r in rows])
+    y, n = np.array([r.y for r in rows]), np.array([r.n for r in rows])
+    gains = {}
+    for f in range(pii.FEATURES):
+        for k in range(SLOTS - 1):
+            sides = [(code[:, f] <= k), (code[:, f] > k)]
+            if all((n * s).sum() for s in sides):
+                gains[f, k] = sum(((n * (0.5 - y))[s].sum()) ** 2 / ((n * 0.25)[s].sum() + 1.0) for s in sides)
+    tree = trees.nodes[0]
+    assert abs(gains[tree.feature[0], tree.slot[0]] - max(gains.values())) < 1e-6 * max(gains.values())
+    table.unpersist()

@@ -9,9 +9,10 @@ least that reaches ``PRECISION`` on them. Base spans always stay; of the other
 candidates, those over their threshold are taken best first where they
 overlap no span already taken.
 
-The trees are fit on at most ``SAMPLE_DOCS`` documents (expected number, by a
-hash of ``doc_id``) and on ``PROTOTYPES`` made-up base spans per kind, so a
-corpus without base spans has a model too. Base spans are positive; each is
+The trees are fit on every document (Spark sums up each level of a tree over
+all rows) and on ``PROTOTYPES`` made-up base spans per kind, so a corpus
+without base spans has a model too; two texts in five, by a hash of the text,
+are held back for calibration and thresholds. Base spans are positive; each is
 also written in looser forms (positive) and broken ones (negative) in its own
 surroundings. Looser candidates of the corpus are labelled only where
 something other than their pattern tells (``verdict``: check digits, number
@@ -28,7 +29,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
 from bisect import bisect_left, insort
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,11 +39,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierone.llm.boosting import BoostedTrees
+from tierone.llm.boosting import ROWS, BoostedTrees, encoded
+from tierone.llm.common import discard, materialize
 
-SAMPLE_DOCS = 4000
-#: Most candidate rows (with their rewritten forms) the trees are fit on.
-SAMPLE_ROWS = 30_000
 PRECISION = 0.95
 SEED = 42
 #: Made-up base spans per kind that are rewritten beside those of the corpus.
@@ -184,6 +185,10 @@ def features(before: str, body: str, after: str) -> list[float]:
         len(HINTS.findall(near)), len(OTHER.findall(near)), sum(c in "|=<>{}/" for c in near), _checked(body)]
 
 
+#: Of a training row: its kind and :func:`features`.
+FEATURES = 1 + len(features("", "", ""))
+
+
 def surroundings(text: str, start: int, end: int) -> tuple[str, str, str]:
     return text[max(0, start - CONTEXT):start], text[start:end], text[end:end + CONTEXT]
 
@@ -219,24 +224,27 @@ def rewritten(kind: str, body: str) -> list[tuple[str, str, int]]:
 
 
 class Model:
-    """Trees and thresholds of one run; small and of fixed size."""
+    """Trees and thresholds of one run; small and of fixed size.
 
-    def __init__(self, rows: list[tuple[str, list[float], int]]):
+    ``rows`` has one row for all training rows that are alike (:data:`~tierone.llm.boosting.ROWS`).
+    """
+
+    def __init__(self, rows: DataFrame):
         self.trees, self.least = None, {}
-        if not rows or len({r[2] for r in rows}) < 2:
-            return
-        x = np.array([[ORDER[k], *f] for k, f, _ in rows], dtype=np.float64)
-        y = np.array([label for *_, label in rows], dtype=np.float64)
-        held = np.random.default_rng(SEED).random(len(y)) < 0.4
-        if len(set(y[~held])) < 2 or not held.any():
+        sums = {r["held"]: (r["n"], r["ones"]) for r in
+                rows.groupBy("held").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("y")).alias("ones")).collect()}
+        n, ones = sums.get(False, (0, 0))
+        if not 0 < ones < n or True not in sums:
             return
-        self.trees = BoostedTrees().fit(x[~held], y[~held]).calibrate(x[held], y[held])
-        p = self.trees.probability(x[held])
+        self.trees = BoostedTrees().fit(rows.filter("NOT held"), ones / n, FEATURES)
+        steps = self.trees.steps(rows.filter("held"))
+        self.trees.calibrate(steps)
+        p = self.trees.at_step(steps[:, 1])
         for kind in LOOSE:
-            own = x[held, 0] == ORDER[kind]
-            order = np.argsort(-p[own])
-            right = np.cumsum(y[held][own][order]) / np.arange(1, own.sum() + 1)
-            fine = np.flatnonzero(right >= PRECISION)
+            own = steps[:, 0] == ORDER[kind]
+            order = np.argsort(-p[own], kind="stable")
+            zeros, found = (np.cumsum(steps[own][order, c]) for c in (2, 3))
+            fine = np.flatnonzero(found >= PRECISION * (zeros + found))
             if len(fine):
                 self.least[kind] = max(0.5, float(p[own][order][fine[-1]]))
 
@@ -246,7 +254,7 @@ class Model:
         if not spans:
             return []
         x = np.array([[ORDER[k], *features(*surroundings(text, a, b))] for a, b, k in spans])
-        p = self.trees.probability(x)
+        p = self.trees.probability(encoded(x))
         covered = _merged(taken)
         chosen = []
         for i in np.argsort(-p, kind="stable"):
@@ -291,8 +299,8 @@ def training_rows(text: str) -> list[tuple[str, list[float], int]]:
     return rows
 
 
-def prototypes() -> list[tuple[str, list[float], int]]:
-    """Training rows of made-up texts with one base span each."""
+def prototypes() -> list[str]:
+    """Made-up texts with one base span each."""
     rng = random.Random(SEED)
 
     def word() -> str:
@@ -301,33 +309,47 @@ def prototypes() -> list[tuple[str, list[float], int]]:
     def digits(n: int) -> str:
         return "".join(rng.choices("0123456789", k=n))
 
-    rows = []
+    texts = []
     for _ in range(PROTOTYPES):
         card = digits(15)
         bodies = (f"{word()}@{word()}.{rng.choice(sorted(DOMAINS))}", ".".join(str(rng.randrange(256)) for _ in range(4)),
                   next(card + d for d in "0123456789" if luhn(card + d)), f"+1 {digits(3)} {digits(3)} {digits(4)}")
         for body in bodies:
-            rows += training_rows(f"{word()} {word()} {word()} {body}{rng.choice((' ', ', ', '. '))}{word()} {word()}")
-    return rows
+            texts.append(f"{word()} {word()} {word()} {body}{rng.choice((' ', ', ', '. '))}{word()} {word()}")
+    return texts
 
 
-def fit(docs: DataFrame) -> Model:
+def counted(texts: list[str]) -> list[tuple[bytes, int, bool, int]]:
+    """The training rows of ``texts`` (:data:`~tierone.llm.boosting.ROWS`); those alike are counted."""
+    seen: Counter = Counter()
+    for text in texts:
+        rows = training_rows(text)
+        if rows:
+            codes = encoded(np.array([[ORDER[k], *f] for k, f, _ in rows], dtype=np.float64))
+            held = zlib.crc32(text.encode("utf-8", "surrogatepass")) % 5 < 2
+            seen.update((c.tobytes(), label, held) for c, (*_, label) in zip(codes, rows, strict=True))
+    return [(*row, n) for row, n in seen.items()]
+
+
+def training_table(docs: DataFrame) -> DataFrame:
+    """The training rows of all documents and of the made-up texts, one for all that are alike."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [r for t in batch.column("text") for r in training_rows(t.as_py())]
+            rows = counted([t.as_py() for t in batch.column("text")])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.string()),
-                 pa.array([[float(v) for v in r[1]] for r in rows], pa.list_(pa.float64())),
-                 pa.array([r[2] for r in rows], pa.int32())], names=["kind", "x", "y"])
-
-    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
-    place = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "doc_id"), 1)       # below 2**63
-    sample = docs.filter(place <= int(share * (2**63 - 1)) if share < 1 else F.lit(True))
-    rows = (sample.filter(F.rlike("text", F.lit("[0-9@]|dot"))).select("text")
-            .mapInArrow(run, "kind string, x array<double>, y int")
-            # The same rows in every run, whichever tasks end first.
-            .orderBy(F.xxhash64(F.lit(SEED), "kind", "x", "y"), "kind", "x", "y").limit(SAMPLE_ROWS).collect())
-    return Model(sorted([(r["kind"], list(r["x"]), r["y"]) for r in rows] + prototypes()))
+                [pa.array([r[i] for r in rows], kind) for i, kind in
+                 enumerate((pa.binary(), pa.int32(), pa.bool_(), pa.int64()))], names=["code", "y", "held", "n"])
+
+    rows = docs.filter(F.rlike("text", F.lit("[0-9@]|dot"))).select("text").mapInArrow(run, ROWS)
+    made = docs.sparkSession.createDataFrame(counted(prototypes()), ROWS)
+    return rows.unionByName(made).groupBy("code", "y", "held").agg(F.sum("n").alias("n"))
+
+
+def fit(docs: DataFrame) -> Model:
+    rows = materialize(training_table(docs), "pii-rows")
+    model = Model(rows)
+    discard(rows)
+    return model
 
 
 def joined(spans: list[tuple[int, int, str]]) -> str:
