@@ -859,6 +859,31 @@ def test_changed_passages_are_found(spark):
         assert {abs(r.doc_id - r.ref_id) for r in rows} == {1} and all(r.identity >= 0.8 for r in rows)
 
 
+def test_changed_passages_are_found_beside_texts_that_quote_them(spark):
+    rng = random.Random(12)
+    texts, planted = {}, set()
+    for i in range(20):
+        p = words_like(rng, 60)
+        q = ["changed" + w if k % 10 == 5 else w for k, w in enumerate(p)]
+        at = 100 * i
+        texts[at], texts[at + 1] = (words_like(rng, 20) + x + words_like(rng, 20) for x in (p, q))
+        planted.add((at, at + 1))
+        for j in range(20):             # each quotes another part, too short for a passage
+            a = rng.randrange(0, 24)
+            texts[at + 2 + j] = words_like(rng, 15) + p[a:a + 36] + words_like(rng, 15)
+    found = {tuple(sorted((r.doc_id, r.ref_id))) for r in passages_of(spark, texts)}
+    assert len(planted & found) >= 19
+
+
+def test_blocks_match_every_two_texts_once(spark):
+    rows = [(h, 1, n, k, p) for h, n in ((7, 11), (8, 2)) for k in range(1, n + 1) for p in range(1 + k % 3)]
+    hits = spark.createDataFrame(rows, "h long, ref long, n long, key long, pos int")
+    want = sorted((a[3], b[3], a[4], b[4]) for a in rows for b in rows
+                  if a[0] == b[0] and a[3] < b[3] and 0 in (a[4], b[4]))
+    for block in (1, 3, 100):
+        assert sorted(tuple(r) for r in substring.with_all(hits, block).collect()) == want
+
+
 @pytest.mark.parametrize("share", [0.0, 0.2, 1.0, None])
 def test_looser_personal_data_is_found_at_any_density(spark, share):
     rng = random.Random(10)
