@@ -1,5 +1,6 @@
 """Version history and period-over-period invariants."""
 
+import pytest
 import datetime as dt
 
 from pyspark.sql import Window
@@ -71,3 +72,16 @@ def test_previous_quarter_crosses_years(spark):
                                "year int, quarter int, v double")
     got = {(r.year, r.quarter): r.prev_v for r in with_previous_quarter(df, ["v"]).collect()}
     assert got == {(2023, 4): None, (2024, 1): 1.0, (2024, 3): None}
+
+
+def test_runs_of_the_dimension_read_the_tables_once(spark, sf, monkeypatch):
+    from tierone import queries
+    from tierone.plans import pipeline
+    sources = []
+    monkeypatch.setattr(pipeline, "run_pipeline", lambda spark, source, *args, **more: sources.append(source))
+    with pytest.raises(Exception, match="dim_institution"):     # no run has built it
+        queries.dim_versions(spark, sf)
+    assert len(sources) == 4
+    for source in sources:
+        for frame in (source.institutions_df, source.financials_df):
+            assert frame.inputFiles() and not any(sf in f for f in frame.inputFiles())

@@ -42,7 +42,7 @@ from tierone.sources.catalog import (
     save_table,
 )
 from tierone.sources.publish import point, publish, published
-from tierone.sources.parquet import cluster
+from tierone.sources.parquet import cluster, written
 
 SCORECARD_KEY = ["run_id", "dataset", "pipeline_stage"]
 
@@ -105,10 +105,10 @@ def build_health(spark: SparkSession, db: str, run: RunContext,
 def build_dim(spark: SparkSession, db: str, run: RunContext) -> None:
     """Merge the institutions into the versions kept; nothing is written if nothing changed."""
     dim = spark.table(f"{db}.{DIM_TABLE}")
-    changes = changed_states(dim, spark.table(f"{db}.institutions_raw")).checkpoint()
+    changes = written(changed_states(dim, spark.table(f"{db}.institutions_raw")), "dim-changes")
     if changes.isEmpty():
         return
-    merged = merged_versions(dim, changes, run).checkpoint()
+    merged = written(merged_versions(dim, changes, run), "dim-merged")
     closed = ~F.col("is_current")
     closes = not (merged.filter(closed).select("cert").isEmpty()
                   and dim.filter(closed).join(changes, "cert", "left_semi").select("cert").isEmpty())

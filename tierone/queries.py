@@ -30,7 +30,7 @@ from tierone.plans import bronze, gold, partials, reports, silver, warehouse
 from tierone.session import scratch_path
 from tierone.sources import catalog, fixtures, ledger
 from tierone.sources.frames import FrameSource
-from tierone.sources.parquet import observed_rows, read_dataset, write_dataset
+from tierone.sources.parquet import observed_rows, read_dataset, write_dataset, written
 from tierone.sources.publish import publish
 
 RUN = FIXED_RUN
@@ -485,6 +485,7 @@ def dim_versions(spark, sf):
     from tierone.plans.pipeline import run_pipeline
     inst, fin = _bronze(spark, sf)
     fin = fin.filter((F.col("year") == 2024) & (F.col("quarter") == 4))
+    inst, fin = (written(x, "dim-source") for x in (inst, fin))     # four runs read these, several times each
     base, db = scratch_path(spark, "dim-versions"), f"tierone_gold_{uuid.uuid4().hex[:10]}"
     for day, (x, repdte) in zip(("2024-01-31", "2024-07-31", "2025-01-31", "2025-02-28"),
                                 (*fixtures.SNAPSHOTS, fixtures.SNAPSHOTS[-1]), strict=True):

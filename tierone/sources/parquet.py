@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierone.session import scratch_path
+
 
 def read_dataset(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
@@ -65,5 +67,12 @@ def write_dataset(df: DataFrame, path: str, *, mode: str = "overwrite",
     writer.save(path)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, by column: cuts lineage, computes once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return read_dataset(df.sparkSession, path, df.schema)
+
+
 def observed_rows(obs: Observation) -> int:
     return int(obs.get.get("rows", 0))
