@@ -1,8 +1,8 @@
 """Version history and period-over-period invariants."""
 
-import pytest
 import datetime as dt
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
