@@ -884,6 +884,72 @@ def test_blocks_match_every_two_texts_once(spark):
         assert sorted(tuple(r) for r in substring.with_all(hits, block).collect()) == want
 
 
+def texts_around_frequent_lines(rng):
+    """Texts of three lines each of which is in many texts; pairs with passages that only such lines can show."""
+    lines = [words_like(rng, n) for n in (14, 24, 24)]
+    texts, planted = {}, set()
+    for i in range(90):                 # nothing but a line, or two lines with other words between, in common
+        texts[i] = words_like(rng, 60) + lines[i % 3] + words_like(rng, 70) + lines[(i + 1) % 3] + words_like(rng, 40)
+    for i in range(100, 130, 2):        # no five equal words outside the line
+        left, right = words_like(rng, 20), words_like(rng, 20)
+        changed = [[w if (k + 1) % 5 else "changed" + w for k, w in enumerate(x)] for x in (left[::-1], right)]
+        texts[i] = words_like(rng, 30) + left + lines[0] + right + words_like(rng, 30)
+        texts[i + 1] = words_like(rng, 9) + changed[0][::-1] + lines[0] + changed[1] + words_like(rng, 30)
+        planted.add((i, i + 1))
+    for i in range(200, 204):           # two lines with six words of their own between
+        texts[i] = words_like(rng, 20) + lines[1] + words_like(rng, 6) + lines[2] + words_like(rng, 20)
+        planted |= {(j, i) for j in range(200, i)}
+    copy = words_like(rng, 120)
+    for i in range(300, 340):           # near copies, half of them of one part only
+        part = copy if i % 2 else copy[50:]
+        texts[i] = words_like(rng, 5) + [w if rng.random() > 0.06 else "changed" + w for w in part]
+    return texts, planted
+
+
+def test_passages_of_frequent_seeds_are_all_found_or_of_one_class(spark, monkeypatch):
+    texts, planted = texts_around_frequent_lines(random.Random(13))
+    monkeypatch.setattr(substring, "FEW", 10**9)
+    every = passages_of(spark, texts)
+    assert planted <= {tuple(sorted((r.doc_id, r.ref_id))) for r in every}
+    monkeypatch.setattr(substring, "FEW", 3)
+    for many in (substring.MANY, 20):
+        monkeypatch.setattr(substring.candidates, "__defaults__", (many,))
+        some = passages_of(spark, texts)
+        spans = {}
+        for r in some:
+            a, b = (r.start, r.end), (r.ref_start, r.ref_end)
+            spans.setdefault((r.doc_id, r.ref_id), []).append((a, b))
+            spans.setdefault((r.ref_id, r.doc_id), []).append((b, a))
+
+        def touch(p, q):
+            return max(p[0], q[0]) < min(p[1], q[1])
+
+        def of_one_class(r):
+            """Both texts have a passage with one place of a third one."""
+            return any(touch(x, (r.start, r.end)) and touch(y, (r.ref_start, r.ref_end)) and touch(u, v)
+                       for c in texts for x, u in spans.get((r.doc_id, c), []) for y, v in spans.get((r.ref_id, c), []))
+
+        direct = {tuple(sorted((r.doc_id, r.ref_id))) for r in some}
+        assert planted <= direct
+        assert not [r for r in every if tuple(sorted((r.doc_id, r.ref_id))) not in direct and not of_one_class(r)]
+        assert len(some) < len(every)
+
+
+def test_pairs_of_a_frequent_line_are_told_apart(spark):
+    rng = random.Random(14)
+    line = words_like(rng, 12)
+    texts = {i: words_like(rng, 40) + line + words_like(rng, 40) for i in range(400)}
+    texts[400] = words_like(rng, 9) + texts[7][20:80]
+    rows = [(i, substring.tokens([" ".join(t)], punctuation=False)[0]) for i, t in texts.items()]
+    words = spark.createDataFrame([(i, (w >> np.uint64(32)).astype(np.uint32).view(np.int32).tolist()) for i, w in rows],
+                                  "key long, words array<int>")
+    hits = spark.createDataFrame([(5, 401, i, 43 if i < 400 else 32, True, True, True) for i in texts],
+                                 "h long, n long, key long, pos int, opened boolean, first boolean, wanted boolean")
+    for many in (50, 4096):
+        got = {tuple(r) for r in substring.candidates(substring.members(hits, words), many).collect()}
+        assert got == {(7, 400)}         # of 80,200 pairs
+
+
 @pytest.mark.parametrize("share", [0.0, 0.2, 1.0, None])
 def test_looser_personal_data_is_found_at_any_density(spark, share):
     rng = random.Random(10)
