@@ -914,6 +914,9 @@ def test_passages_of_frequent_seeds_are_all_found_or_of_one_class(spark, monkeyp
     monkeypatch.setattr(substring, "FEW", 3)
     for many in (substring.MANY, 20):
         monkeypatch.setattr(substring.candidates, "__defaults__", (many,))
+        if many < substring.MANY:       # several slices
+            monkeypatch.setattr(substring, "FIRST_PAIRS", 2000)
+            monkeypatch.setattr(substring, "SLICE_PAIRS", 100)
         some = passages_of(spark, texts)
         spans = {}
         for r in some:
