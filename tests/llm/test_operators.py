@@ -219,6 +219,19 @@ def test_links_connect_like_all_pairs(spark, small):
     assert {p: got.get(p, p) for p in signed} == want
 
 
+def test_exploded_buckets_are_not_broadcast(spark, monkeypatch):
+    plans, write = {}, simhash.materialize
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(simhash, "materialize", kept)
+    fps = write(spark.range(2000).select(F.xxhash64("id").alias("fp")), "test-fp")   # its size is known to be small
+    simhash.links(fps)
+    assert "Generate" in plans["sim-buckets"] and "Broadcast" not in plans["sim-buckets"]
+
+
 # ------------------------------------------------------------------ mixing
 
 def brute_targets(sizes):

@@ -110,7 +110,8 @@ def links(fps: DataFrame, radius: int = RADIUS, small: int = SMALL_BUCKET) -> Da
     # Buckets of one member are gone before anything is gathered.
     sizes = (tables.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("lo"))
              .filter("n > 1"))
-    members = materialize(tables.join(sizes, ["t", "key"]), "sim-buckets")
+    # Spark sizes the exploded rows by the table before and would broadcast all of them.
+    members = materialize(tables.join(sizes.hint("merge"), ["t", "key"]), "sim-buckets")
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
