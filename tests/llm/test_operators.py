@@ -966,6 +966,78 @@ def test_pairs_of_a_frequent_line_are_told_apart(spark):
         assert got == {(7, 400)}         # of 80,200 pairs
 
 
+def test_texts_that_repeat_one_word_are_not_compared_for_it(spark):
+    rng = random.Random(15)
+    texts = {i: words_like(rng, 30) + ["again"] * (9 + i % 15) + words_like(rng, 6) + ["again"] * 9 + words_like(rng, 30)
+             for i in range(60)}
+    texts[60] = words_like(rng, 4) + texts[9][10:85]
+    rows = [(i, *substring._split_words([" ".join(t)])) for i, t in texts.items()]
+    words = spark.createDataFrame([(i, (w >> np.uint64(32)).astype(np.uint32).view(np.int32).tolist()) for i, w in rows],
+                                  "key long, words array<int>")
+    seeds = [(int(h), i, int(p)) for i, w in rows for h, p in zip(*substring.seeds_of(w)[:2], strict=True)]
+    least = {(h, i): p for h, i, p in reversed(seeds)}
+    where = {}
+    for h, i, _ in seeds:
+        where.setdefault(h, set()).add(i)
+    hits = spark.createDataFrame([(h, len(where[h]), i, p, True, least[h, i] == p, True) for h, i, p in seeds if len(where[h]) > 2],
+                                 "h long, n long, key long, pos int, opened boolean, first boolean, wanted boolean")
+    got = {tuple(r) for r in substring.candidates(substring.members(hits, words)).collect()}
+    assert (9, 60) in got and len(got) <= 60            # of 1,830 pairs
+    pairs = spark.createDataFrame([(a, b) for a in range(60) for b in range(a + 1, 61)], "ref long, key long")
+    many = hits.select("h", "key", "first").unionByName(spark.createDataFrame(
+        [(-1, i, True) for i in (3, 8)] + [(-1, 8, False)], "h long, key long, first boolean"))
+    assert {tuple(r) for r in substring.chainable(pairs, many).collect()} == {(3, 8)}
+
+
+def test_many_pairs_are_chained_like_one_by_one(monkeypatch):
+    rng = random.Random(16)
+    pairs = []
+    for i in range(400):
+        n, wide = rng.choice((1, 2, 5, 30, 90, 200)), rng.choice((4, 40, 900))
+        plain = [(rng.randrange(wide), rng.randrange(wide)) for _ in range(n)]
+        at = rng.randrange(wide), rng.randrange(wide)
+        equal = [(at[0] + k, at[1] + k) for k in range(rng.randrange(40))] if i % 3 == 0 else []
+        if i % 5 == 0:
+            plain = [(p[0], at[1]) if rng.random() < 0.5 else (at[0], p[1]) for p in plain]     # one seed
+        pairs.append(plain + rng.sample(equal, len(equal) // 3) + equal)
+        equal, points = set(equal), pairs[-1]
+        pairs[-1] = [(x, y, k >= len(points) - len(equal)) for k, (x, y) in enumerate(points)]
+    flat = [(i, *p) for i, points in enumerate(pairs) for p in rng.sample(points, len(points))]
+    arrays = [np.array(v) for v in zip(*flat, strict=True)]
+    want = set()
+    for i, points in enumerate(pairs):
+        equal = {(x, y) for x, y, e in points if e}
+        equal = {(x, y) for x, y in equal
+                 if x % substring.STEP == 0 or (x - 1, y - 1) not in equal or (x + 1, y + 1) not in equal}
+        found = substring.chains([(x, y) for x, y, e in points if not e] + list(equal), equal)
+        want |= {(i, tuple(c)) for c in found}
+    for most, cells in ((1024, 1 << 16), (1024, 500), (20, 1 << 16)):
+        monkeypatch.setattr(substring, "AT_A_TIME", most)
+        monkeypatch.setattr(substring, "CELLS", cells)
+        pair, x, y, starts = substring.chained(*arrays)
+        got = {(int(pair[a]), tuple(zip(x[a:b].tolist(), y[a:b].tolist(), strict=True)))
+               for a, b in itertools.pairwise([*starts.tolist(), len(pair)])}
+        assert got == want
+
+
+@pytest.mark.parametrize("slices", [1, 3])
+def test_shared_seeds_equal_brute_force(spark, monkeypatch, slices):
+    rng = random.Random(17)
+    rows = [(k, [rng.choice((rng.randrange(-30, 30), rng.randrange(2**62))) for _ in range(rng.randrange(20))]) for k in range(-40, 40)]
+    rows = [(k, h, sorted(rng.sample(range(500), len(h)))) for k, h in rows]
+    rows.append(rows[7])                # a text that comes twice
+    where = {}
+    for k, h, pos in rows:
+        for x, p in zip(h, pos, strict=True):
+            where.setdefault(x, {}).setdefault(k, []).append(p)
+    times = {k: sum(r[0] == k for r in rows) for k, _, _ in rows}
+    want = sorted((x, min(own), sum(times[k] for k in own), k, p, p == min(own[k]))
+                  for x, own in where.items() if len(own) > 1 for k in own for p in set(own[k]))
+    monkeypatch.setattr(substring, "AT_ONCE", 100)
+    table = spark.createDataFrame(rows, "key long, h array<long>, pos array<int>").repartition(3)
+    assert sorted(tuple(r) for r in substring.shared(table, "test", 10**8, slices).collect()) == want
+
+
 @pytest.mark.parametrize("share", [0.0, 0.2, 1.0, None])
 def test_looser_personal_data_is_found_at_any_density(spark, share):
     rng = random.Random(10)
